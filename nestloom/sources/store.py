@@ -1,0 +1,184 @@
+"""Stored targets: Parquet in hash buckets, published as versions.
+
+A version is a map from bucket to the folder that holds it. A change writes new folders for the
+touched buckets only, checks them, and then publishes a new map with one log entry, so readers see
+the old state or the new one and a lost executor or driver leaves the live version as it was.
+Earlier versions stay readable and can be made live again.
+
+Layout: ``data/_v=<id>/_bucket=<n>/*.parquet`` and ``log/*.parquet``. One writer at a time.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+
+from nestloom.operators.access import BUCKET, bucket_of, get_item, query
+from nestloom.operators.changes import drop_stale, latest_per_key, replace_rows
+from nestloom.sources.log import AppendLog
+from nestloom.sources.scratch import materialize
+
+Check = Callable[[DataFrame], str | None]
+
+
+class CheckFailed(Exception):
+    """A staged version did not pass its checks; nothing was published."""
+
+
+@dataclass(frozen=True)
+class Staged:
+    version: str
+    buckets: tuple[int, ...]
+    replaces: tuple[int, ...] | None  # None: all buckets
+
+
+class BucketStore:
+    """One target table under ``root``, keyed by ``keys`` and bucketed by the first of them."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType | str,
+        keys: Sequence[str] = ("PK", "SK"),
+        buckets: int = 64,
+    ):
+        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+        self.schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        self.log = AppendLog(
+            spark,
+            f"{self.root}/log",
+            "action string, version string, batch bigint, manifest array<struct<bucket:int,v:string>>",
+        )
+
+    # -- reading -----------------------------------------------------------------------------
+
+    def _entry(self, version: str | None = None) -> Row | None:
+        log = self.log.read()
+        if version is not None:
+            log = log.where(F.col("version") == version)
+        return log.orderBy(F.desc("seq")).first()
+
+    def _read(self, manifest: Sequence[Row], only: Sequence[int] | None = None) -> DataFrame:
+        stored = T.StructType(self.schema.fields + [T.StructField("_v", T.StringType()), T.StructField(BUCKET, T.IntegerType())])
+        wanted = None if only is None else set(only)
+        paths = [
+            f"{self.root}/data/_v={m['v']}/{BUCKET}={m['bucket']}"
+            for m in manifest
+            if wanted is None or m["bucket"] in wanted
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], stored).drop("_v")
+        reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
+        return reader.parquet(*paths).drop("_v")
+
+    def read(self, version: str | None = None) -> DataFrame:
+        """The live (or the named) version, with its bucket column for pruned lookups."""
+        entry = self._entry(version)
+        if entry is None and version is not None:
+            raise ValueError(f"no version {version!r}")
+        return self._read(entry["manifest"] if entry else [])
+
+    def items(self, version: str | None = None) -> DataFrame:
+        return self.read(version).drop(BUCKET)
+
+    def count(self) -> int:
+        """Exact number of live items, 0 before the first version."""
+        return self.read().count()
+
+    def query(self, pk: str, **options) -> DataFrame:
+        return query(self.read(), pk, buckets=self.buckets, **options).drop(BUCKET)
+
+    def get(self, pk: str, sk: str) -> DataFrame:
+        return get_item(self.read(), pk, sk, buckets=self.buckets).drop(BUCKET)
+
+    def versions(self) -> DataFrame:
+        return self.log.read().select("seq", "at", "action", "version", "batch", F.size("manifest").alias("folders"))
+
+    def live_version(self) -> str | None:
+        entry = self._entry()
+        return entry["version"] if entry else None
+
+    def last_batch(self) -> int:
+        """Greatest feed batch that was published, -1 if none."""
+        top = self.log.read().agg(F.max("batch")).first()[0]
+        return -1 if top is None else top
+
+    # -- writing -----------------------------------------------------------------------------
+
+    def stage(self, items: DataFrame, replaces: Sequence[int] | None = None) -> Staged:
+        """Write a candidate next to the live version, invisible to readers.
+
+        The rebalance hint sizes the files and splits a bucket that one collection dominates.
+        """
+        version = uuid.uuid4().hex
+        rows = items.select(*self.schema.names).withColumn(BUCKET, bucket_of(F.col(self.keys[0]), self.buckets))
+        path = f"{self.root}/data/_v={version}"
+        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        return Staged(version, self._present(path), None if replaces is None else tuple(replaces))
+
+    def _present(self, path: str) -> tuple[int, ...]:
+        """Buckets a written folder holds; only the partition column is read."""
+        stored = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        written = self.spark.read.schema(stored).parquet(path).select(BUCKET).distinct()
+        return tuple(sorted(r[0] for r in written.collect()))
+
+    def read_staged(self, staged: Staged) -> DataFrame:
+        return self._read([Row(bucket=b, v=staged.version) for b in staged.buckets]).drop(BUCKET)
+
+    def publish(self, staged: Staged, checks: Sequence[Check] = (), batch: int | None = None) -> str:
+        """Make a staged candidate live after its checks; each check returns a complaint or None."""
+        candidate = self.read_staged(staged)
+        complaints = [c for c in (check(candidate) for check in checks) if c]
+        if complaints:
+            raise CheckFailed("; ".join(complaints))
+        entry = self._entry()
+        kept = []
+        if staged.replaces is not None and entry is not None:
+            kept = [m for m in entry["manifest"] if m["bucket"] not in staged.replaces]
+        manifest = [(m["bucket"], m["v"]) for m in kept] + [(b, staged.version) for b in staged.buckets]
+        self.log.append({"action": "publish", "version": staged.version, "batch": batch, "manifest": sorted(manifest)})
+        return staged.version
+
+    def overwrite(self, items: DataFrame, checks: Sequence[Check] = (), batch: int | None = None) -> str:
+        return self.publish(self.stage(items), checks, batch)
+
+    def upsert(
+        self,
+        changes: DataFrame,
+        version: str | None = None,
+        op: str | None = None,
+        batch: int | None = None,
+        checks: Sequence[Check] = (),
+    ) -> str | None:
+        """Replace whole items by key; only buckets that hold a changed key are rewritten.
+
+        A feed batch that was already published is skipped.
+        """
+        if batch is not None and batch <= self.last_batch():
+            return None
+        last = materialize(latest_per_key(changes, self.keys, version), "changes")
+        touched_rows = last.select(bucket_of(F.col(self.keys[0]), self.buckets).alias("b")).distinct().collect()
+        touched = sorted(r["b"] for r in touched_rows)
+        if not touched:
+            return None
+        entry = self._entry()
+        before = self._read(entry["manifest"] if entry else [], touched).drop(BUCKET)
+        if version and version in self.schema.names:
+            last = materialize(drop_stale(last, before, self.keys, version), "changes")
+        after = replace_rows(before, last, self.keys, op)
+        return self.publish(self.stage(after, touched), checks, batch)
+
+    def rollback(self, version: str | None = None) -> str:
+        """Make an earlier version live again, by default the one before the live one."""
+        history = self.log.read().orderBy(F.desc("seq")).select("version", "manifest")
+        live = self.live_version()
+        chosen = history.where(F.col("version") == version if version else F.col("version") != live).first()
+        if chosen is None:
+            raise ValueError("no earlier version")
+        manifest = [(m["bucket"], m["v"]) for m in chosen["manifest"]]
+        self.log.append({"action": "rollback", "version": chosen["version"], "batch": None, "manifest": manifest})
+        return chosen["version"]
