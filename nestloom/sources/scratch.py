@@ -40,3 +40,11 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Parquet under ``path``, or no rows if nothing was written there yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
