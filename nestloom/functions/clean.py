@@ -23,15 +23,36 @@ def latin1_text(c: Column) -> Column:
     return F.decode(c, "ISO-8859-1")
 
 
+# Text that can be such a number at all. Only a filter in front of ``try_cast``, which raises and
+# catches an error per bad value and so is slow on a column that is often bad.
+_PAD = r"[\x00-\x20]*"
+_FRACTION = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
+NUMBER_SHAPES = {
+    "tinyint": rf"^{_PAD}[+-]?[0-9]+{_PAD}$",
+    "smallint": rf"^{_PAD}[+-]?[0-9]+{_PAD}$",
+    "int": rf"^{_PAD}[+-]?[0-9]+{_PAD}$",
+    "bigint": rf"^{_PAD}[+-]?[0-9]+{_PAD}$",
+    "decimal": rf"^{_PAD}{_FRACTION}{_PAD}$".replace("[0-9]", r"\p{Nd}"),
+    "float": rf"^{_PAD}({_FRACTION}[dDfF]?|(?i:[+-]?inf(inity)?|nan)){_PAD}$",
+    "double": rf"^{_PAD}({_FRACTION}[dDfF]?|(?i:[+-]?inf(inity)?|nan)){_PAD}$",
+}
+
+
+def safe_cast(c: Column, dtype: str) -> Column:
+    """Text as ``dtype``, NULL where it is not one."""
+    shape = NUMBER_SHAPES.get(dtype.split("(")[0].strip().lower())
+    return c.try_cast(dtype) if shape is None else F.when(c.rlike(shape), c.try_cast(dtype))
+
+
 TRANSFORMS: dict[str, ColumnFunction] = {
     "lowercase": F.lower,
     "uppercase": F.upper,
     "trim": F.trim,
     "format_phone": phone_digits,
     "latin1": latin1_text,
-    "to_long": lambda c: c.try_cast("bigint"),
-    "to_double": lambda c: c.try_cast("double"),
-    "to_money": lambda c: c.try_cast("decimal(18,2)"),
+    "to_long": lambda c: safe_cast(c, "bigint"),
+    "to_double": lambda c: safe_cast(c, "double"),
+    "to_money": lambda c: safe_cast(c, "decimal(18,2)"),
     "to_timestamp": lambda c: c.try_cast("timestamp"),
 }
 

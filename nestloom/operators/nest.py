@@ -3,13 +3,14 @@
 A parent may own any share of all child rows, so nothing here gathers a whole group:
 
 * counts are combined before the shuffle;
-* embedding first cuts every group to ``cap + 1`` rows, before and after the shuffle;
-* numbering hands large groups to a range-partitioned plan, many tasks per group.
+* embedding keeps the rows of giant groups out of the shuffle, since only their count is wanted;
+* first-n cuts every group before the shuffle;
+* numbering hands giant groups to a range-partitioned plan, many tasks per group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -70,15 +71,6 @@ def first_n(df: DataFrame, by: str | Sequence[str], order: Sequence[Column | str
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def _sorted_structs(order: Sequence[str], fields: Sequence[str]) -> Column:
-    """Array of ``fields`` structs in ``order``; ties are settled by the fields, so the order is total."""
-    sortable = F.struct(
-        F.struct(*order).alias("o"),
-        F.struct(*fields).alias("v"),
-    )
-    return F.transform(F.array_sort(F.collect_list(sortable)), lambda e: e["v"])
-
-
 def bounded_embed(
     parent: DataFrame,
     child: DataFrame,
@@ -90,36 +82,63 @@ def bounded_embed(
     count_name: str,
     large_name: str,
     member: str | None = None,
+    counted: DataFrame | None = None,
+    totals: Mapping[str, Column] | None = None,
+    floor: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``parent`` with its children as an ordered array of structs.
 
     ``count_name`` is always exact. The array is empty for no children and NULL above ``cap``, where
     ``large_name`` is true; ``paginate`` gives the rows of those. ``member`` names the child column
-    that must be set for a row to count as a child.
+    that must be set for a row to count as a child, ``counted`` is a narrower table with the same keys
+    and rows to find group sizes in, and ``totals`` are further aggregates over all children.
+
+    Groups above ``floor`` rows that exceed an average shuffle partition are only counted, before any
+    shuffle; at most ``spark.sql.shuffle.partitions`` groups can be that large, so their keys are safe
+    to broadcast. All other groups take one shuffle, and no list grows beyond ``cap``.
     """
     keys = _names(on)
-    if member:
-        child = child.where(F.col(member).isNotNull())
-    counts = _count_per(child, keys, count_name)
+    spark = parent.sparkSession
+    for k in [*keys, *([member] if member else [])]:
+        child = child.where(F.col(k).isNotNull())
+        if counted is not None and k in counted.columns:
+            counted = counted.where(F.col(k).isNotNull())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = (child if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    over = (F.col("_n") > max(floor, cap)) & (F.col("_n") * parts > sizes.agg(F.sum("_n")).scalar())
+    giants = sizes.where(over)
+    giant_keys = F.broadcast(giants.select(*keys))
+    extra = {f"_{n}": c for n, c in (totals or {}).items()}
+
+    ties = [f for f in fields if f not in order]
+    window = Window.partitionBy(*keys).orderBy(*order, *ties)
+    kept = F.when(F.col("_rn") <= cap, F.struct("_rn", F.struct(*fields).alias("v")))
     lists = (
-        first_n(child, keys, [*order, *[f for f in fields if f not in order]], cap + 1)
+        child.join(giant_keys, keys, "left_anti")
+        .withColumn("_rn", F.row_number().over(window))
         .groupBy(*keys)
-        .agg(_sorted_structs(order, fields).alias(name))
-        .where(F.size(name) <= cap)
-    )
-    empty = F.array().cast(lists.schema[name].dataType)
-    total = F.coalesce(count_name, F.lit(0).cast("bigint"))
-    return (
-        parent.join(counts, keys, "left")
-        .join(lists, keys, "left")
-        .withColumns(
-            {
-                count_name: total,
-                name: F.when(total == 0, empty).otherwise(F.col(name)),
-                large_name: total > cap,
-            }
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.transform(F.array_sort(F.collect_list(kept)), lambda e: e["v"]).alias(name),
+            *[c.alias(n) for n, c in extra.items()],
         )
     )
+    if extra:
+        giants = child.join(giant_keys, keys, "left_semi").groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in extra.items()]
+        )
+    giants = giants.withColumnsRenamed({n: f"_g{n}" for n in ["_n", *extra]})
+    empty = F.array().cast(lists.schema[name].dataType)
+    total = F.coalesce("_n", "_g_n", F.lit(0).cast("bigint"))
+    found = parent.join(lists, keys, "left").join(F.broadcast(giants), keys, "left")
+    return found.withColumns(
+        {
+            count_name: total,
+            name: F.when(total == 0, empty).when(total <= cap, F.col(name)),
+            large_name: total > cap,
+            **{n: F.coalesce(f"_{n}", f"_g_{n}") for n in (totals or {})},
+        }
+    ).drop("_n", "_g_n", *extra, *[f"_g{n}" for n in extra])
 
 
 def large_groups(df: DataFrame, by: Sequence[str], sizes: DataFrame | None, floor: int) -> list[tuple]:
@@ -130,8 +149,11 @@ def large_groups(df: DataFrame, by: Sequence[str], sizes: DataFrame | None, floo
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if sizes is None:
         sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.where((F.col("_n") > floor) & (F.col("_n") * parts > sizes.agg(F.sum("_n")).scalar()))
-    return [tuple(r) for r in big.select(*by).collect()]
+    top = sizes.where(F.col("_n") > floor).orderBy(F.desc("_n")).limit(parts).select(*by, "_n").collect()
+    if not top:
+        return []
+    total = sizes.agg(F.sum("_n")).first()[0]
+    return [tuple(r)[:-1] for r in top if r["_n"] * parts > total]
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -174,24 +196,32 @@ def number_rows(
     name: str = "rn",
     sizes: DataFrame | None = None,
     floor: int = ONE_TASK_ROWS,
+    above: int = 0,
 ) -> DataFrame:
-    """Row numbers from 1 within each group, exact for groups of any size.
+    """Row numbers from 1 within each group of more than ``above`` rows, exact for groups of any size.
 
     Runs one counting job to find large groups; pass ``sizes`` (keys and ``_n``) if a cheaper source
     of the group sizes exists. ``order`` must end in something close to unique.
     """
     keys, ordering = _names(by), [as_column(o) for o in order]
-    large = large_groups(df, keys, sizes, floor)
+    large = large_groups(df, keys, sizes, max(floor, above))
     window = Window.partitionBy(*keys).orderBy(*ordering)
+
+    def number_small(rows: DataFrame) -> DataFrame:
+        numbered = rows.withColumn(name, F.row_number().over(window).cast("bigint"))
+        if not above:
+            return numbered
+        size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        return numbered.withColumn("_size", size).where(F.col("_size") > above).drop("_size")
+
     if not large:
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+        return number_small(df)
     schema = T.StructType([df.schema[k] for k in keys])
     marks = df.sparkSession.createDataFrame(large, schema).withColumn("_large", F.lit(True))
     marked = _join_null_safe(df, F.broadcast(marks), keys, "left")
     small = marked.where(F.col("_large").isNull()).drop("_large")
     rest = marked.where("_large").drop("_large")
-    numbered = small.withColumn(name, F.row_number().over(window).cast("bigint"))
-    return numbered.unionByName(_number_by_range(rest, keys, ordering, name))
+    return number_small(small).unionByName(_number_by_range(rest, keys, ordering, name))
 
 
 def paginate(
@@ -210,16 +240,16 @@ def paginate(
     Only groups with more than ``above`` rows are paged.
     """
     keys = _names(by)
-    if above:
-        counted = sizes if sizes is not None else child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        sizes = counted.where(F.col("_n") > above)
-        child = child.join(sizes.select(*keys), keys, "left_semi")
     ties = [f for f in fields if f not in order]
-    numbered = number_rows(child, keys, [*order, *ties], "_rn", sizes, floor)
+    numbered = number_rows(child, keys, [*order, *ties], "_rn", sizes, floor, above)
+    placed = F.struct("_rn", F.struct(*fields).alias("v"))
     return (
         numbered.withColumn("page", F.floor((F.col("_rn") - 1) / size) + 1)
         .groupBy(*keys, "page")
-        .agg(F.count(F.lit(1)).alias("page_rows"), _sorted_structs(order, fields).alias(name))
+        .agg(
+            F.count(F.lit(1)).alias("page_rows"),
+            F.transform(F.array_sort(F.collect_list(placed)), lambda e: e["v"]).alias(name),
+        )
     )
 
 

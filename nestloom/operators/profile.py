@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -13,78 +13,71 @@ from nestloom.sources.tables import union_all
 LONGEST_PLAIN_TEXT = 64
 
 
-def _lanes(c: Column, dtype: T.DataType, exact_type: str) -> dict[str, Column]:
-    """One value as typed lanes: whole numbers, fractions, exact decimals and text.
-
-    ``size`` is the text length. Values of any other type are compared by their text.
-    """
-    empty = {
-        "whole": F.lit(None).cast("bigint"),
-        "fraction": F.lit(None).cast("double"),
-        "exact": F.lit(None).cast(exact_type),
-        "text": F.lit(None).cast("string"),
-        "size": F.lit(None).cast("int"),
-    }
-    if isinstance(dtype, T.IntegralType):
-        return empty | {"whole": c.cast("bigint")}
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return empty | {"fraction": c.cast("double")}
-    if isinstance(dtype, T.DecimalType):
-        return empty | {"exact": c.cast(exact_type)}
+def _comparable(c: Column, dtype: T.DataType) -> Column:
+    """What tells two values apart: the value itself, or a digest for long text and nested values."""
     if isinstance(dtype, T.StringType):
         digest = F.concat(F.lit("#"), F.sha2(c, 256))
-        return empty | {
-            "text": F.when(F.octet_length(c) > LONGEST_PLAIN_TEXT, digest).otherwise(c),
-            "size": F.length(c),
-        }
-    plain = c.cast("string") if isinstance(dtype, T.AtomicType) else F.sha2(F.to_json(F.struct(c.alias("v"))), 256)
-    return empty | {"text": plain}
+        return F.when(F.octet_length(c) > LONGEST_PLAIN_TEXT, digest).otherwise(c)
+    if isinstance(dtype, T.AtomicType):
+        return c
+    return F.when(c.isNotNull(), F.sha2(F.to_json(F.struct(c.alias("v"))), 256))
+
+
+def _column_profile(df: DataFrame, f: T.StructField) -> DataFrame:
+    """Statistics of one column, folded from how often each value occurs."""
+    is_number, is_text = isinstance(f.dataType, T.NumericType), isinstance(f.dataType, T.StringType)
+    c = F.col(f"`{f.name}`")
+    size = F.length(c) if is_text else F.lit(None).cast("int")
+    values = (
+        df.select(_comparable(c, f.dataType).alias("v"), size.alias("size"))
+        .groupBy("v", "size")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    known = F.col("v").isNotNull()
+    total = F.sum(F.when(known, F.col("n")))
+
+    def bound(of: Callable[[str], Column]) -> Column:
+        return (of("v") if is_number else F.lit(None)).cast("string")
+
+    def average(c: Column, wanted: bool) -> Column:
+        return F.sum(c.cast("double") * F.col("n")) / total if wanted else F.lit(None).cast("double")
+
+    zero = F.lit(0).cast("bigint")
+    return values.agg(
+        F.coalesce(F.sum("n"), zero).alias("row_count"),
+        F.count("v").alias("distinct_values"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), zero).alias("null_count"),
+        bound(F.min).alias("min_value"),
+        bound(F.max).alias("max_value"),
+        average(F.col("v"), is_number).alias("average_value"),
+        F.min("size").cast("bigint").alias("min_length"),
+        F.max("size").cast("bigint").alias("max_length"),
+        average(F.col("size"), is_text).alias("average_length"),
+    ).select(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), "*")
 
 
 def profile(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: counts, distinct and missing values, numeric or text-length statistics.
 
-    One scan, two combined aggregations: rows are unpivoted to (column, value), equal values are
-    counted, and the value counts are folded per column. Numeric bounds are text, so integers stay
-    exact; averages are unrounded. An empty table gives a row of zeros per column.
+    Each column is a branch that reads only its own data, so the table is read once in all, and its
+    values are combined before the shuffle; several exact distinct counts in one aggregate would
+    instead send every row once per column. Numeric bounds are text, so all types stay exact;
+    averages are unrounded.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    scale = max([f.dataType.scale for f in fields if isinstance(f.dataType, T.DecimalType)], default=0)
-    exact_type = f"decimal(38,{scale})"
-    entries = [
-        F.struct(F.lit(i).alias("position"), *[c.alias(n) for n, c in _lanes(F.col(f.name), f.dataType, exact_type).items()])
-        for i, f in enumerate(fields)
-    ]
-    lanes = ["whole", "fraction", "exact", "text", "size"]
-    values = df.select(F.inline(F.array(*entries))).groupBy("position", *lanes).agg(F.count(F.lit(1)).alias("n"))
-    known = F.col("whole").isNotNull() | F.col("fraction").isNotNull() | F.col("exact").isNotNull() | F.col("text").isNotNull()
-    as_number = F.coalesce(F.col("whole").cast("double"), F.col("fraction"), F.col("exact").cast("double"))
-    stats = values.groupBy("position").agg(
-        F.sum("n").alias("row_count"),
-        F.count_if(known).alias("distinct_values"),
-        F.sum(F.when(known, 0).otherwise(F.col("n"))).alias("null_count"),
-        F.coalesce(F.min("whole").cast("string"), F.min("fraction").cast("string"), F.min("exact").cast("string")).alias("min_value"),
-        F.coalesce(F.max("whole").cast("string"), F.max("fraction").cast("string"), F.max("exact").cast("string")).alias("max_value"),
-        (F.sum(as_number * F.col("n")) / F.sum(F.when(as_number.isNotNull(), F.col("n")))).alias("average_value"),
-        F.min("size").cast("bigint").alias("min_length"),
-        F.max("size").cast("bigint").alias("max_length"),
-        (F.sum(F.col("size") * F.col("n")) / F.sum(F.when(F.col("size").isNotNull(), F.col("n")))).alias("average_length"),
-    )
-    named = df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)], "position int, column string, type string"
-    )
-    zero = F.lit(0).cast("bigint")
     return (
-        named.join(stats, "position", "left")
-        .withColumns({c: F.coalesce(c, zero) for c in ("row_count", "distinct_values", "null_count")})
+        union_all([_column_profile(df, f) for f in fields])
+        .withColumns(
+            {"table": F.lit(table), "null_percentage": percentage(F.col("null_count"), F.col("row_count"))}
+        )
         .select(
-            F.lit(table).alias("table"),
+            "table",
             "column",
             "type",
             "row_count",
             "distinct_values",
             "null_count",
-            percentage(F.col("null_count"), F.col("row_count")).alias("null_percentage"),
+            "null_percentage",
             "min_value",
             "max_value",
             "average_value",

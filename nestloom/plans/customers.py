@@ -78,6 +78,7 @@ def order_items(
         "LineItemCount",
         "LargeOrder",
         member="InvoiceLineId",
+        counted=line.select("InvoiceId", "InvoiceLineId"),
     )
     placed = iso_text(invoice, "InvoiceDate")
     return orders.select(

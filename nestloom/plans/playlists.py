@@ -40,13 +40,21 @@ def playlist_items(
     cap: int = MEMBER_CAP,
 ) -> DataFrame:
     """Containers with count, total duration and up to ``cap`` members ordered by name."""
-    members = member_rows(playlist_track, track, album, artist)
-    durations = members.groupBy("PlaylistId").agg(F.sum("Milliseconds").alias("TotalDuration"))
     lists = bounded_embed(
-        playlist, members.drop("Milliseconds"), "PlaylistId", MEMBER_FIELDS, ["Name", "TrackId"], cap,
-        "Tracks", "TrackCount", "LargePlaylist", member="TrackId",
-    ).withColumnRenamed("Name", "PlaylistName")
-    return lists.join(durations, "PlaylistId", "left").select(
+        playlist.withColumnRenamed("Name", "PlaylistName"),
+        member_rows(playlist_track, track, album, artist),
+        "PlaylistId",
+        MEMBER_FIELDS,
+        ["Name", "TrackId"],
+        cap,
+        "Tracks",
+        "TrackCount",
+        "LargePlaylist",
+        member="TrackId",
+        counted=playlist_track.select("PlaylistId", "TrackId"),
+        totals={"TotalDuration": F.sum("Milliseconds")},
+    )
+    return lists.select(
         key("PLAYLIST", "PlaylistId").alias("PK"),
         F.lit("METADATA").alias("SK"),
         F.lit("Playlist").alias("EntityType"),

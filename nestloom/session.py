@@ -14,6 +14,8 @@ def local_session(cpus: int = 8, name: str = "nestloom") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # collected lists arrive sorted by their key, so aggregate them in that order
+        .config("spark.sql.execution.replaceHashWithSortAgg", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
