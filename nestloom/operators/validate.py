@@ -16,15 +16,15 @@ def row_count(df: DataFrame, name: str, column: str = "rows") -> DataFrame:
 
 def reconcile(pairs: Mapping[str, tuple[Sequence[DataFrame], DataFrame]]) -> DataFrame:
     """Source and target counts per name; a target may consolidate several source tables."""
-    rows = []
+    none = F.lit(0).cast("bigint")
+    counts = []
     for name, (sources, target) in pairs.items():
-        source = union_all([row_count(s, name, "source_count") for s in sources])
-        rows.append(
-            source.groupBy("name")
-            .agg(F.sum("source_count").alias("source_count"))
-            .join(row_count(target, name, "target_count"), "name")
-        )
-    return union_all(rows).withColumn("count_match", F.col("source_count") == F.col("target_count"))
+        counts += [row_count(s, name, "source_count").withColumn("target_count", none) for s in sources]
+        counts.append(row_count(target, name, "target_count").withColumn("source_count", none))
+    summed = union_all(counts).groupBy("name").agg(
+        F.sum("source_count").alias("source_count"), F.sum("target_count").alias("target_count")
+    )
+    return summed.withColumn("count_match", F.col("source_count") == F.col("target_count"))
 
 
 def reconcile_entities(target: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,0 +1,192 @@
+import pytest
+from music import music_tables
+from pyspark.sql import functions as F
+
+from nestloom.operators.access import BUCKET
+from nestloom.plans.load import Entity, Load, Target, keys_present
+from nestloom.plans.music_store import music_store_targets
+from nestloom.sources.control import Control
+from nestloom.sources.store import BucketStore, CheckFailed
+
+ITEM = "PK string, SK string, v bigint"
+
+
+@pytest.fixture()
+def store(spark, scratch):
+    return BucketStore(spark, scratch(), ITEM, buckets=8)
+
+
+def items(spark, n, step=0):
+    return spark.range(n).select(
+        F.concat(F.lit("P#"), (F.col("id") % 20).cast("string")).alias("PK"),
+        F.concat(F.lit("S#"), F.col("id").cast("string")).alias("SK"),
+        (F.col("id") + step).alias("v"),
+    )
+
+
+def content(df):
+    return {(r.PK, r.SK): r.v for r in df.collect()}
+
+
+def test_empty_store(store):
+    assert store.count() == 0 and store.live_version() is None and store.last_batch() == -1
+    assert store.query("P#1").count() == 0
+
+
+def test_versions_roll_forward_and_back(spark, store):
+    first = store.overwrite(items(spark, 100))
+    second = store.overwrite(items(spark, 60, step=1000))
+    assert store.count() == 60 and store.items(first).count() == 100
+    assert store.rollback() == first and content(store.items()) == content(items(spark, 100))
+    assert store.rollback(second) == second and store.count() == 60
+    assert [r.action for r in store.versions().orderBy("seq").collect()] == ["publish", "publish", "rollback", "rollback"]
+    with pytest.raises(ValueError):
+        store.read("unknown")
+
+
+def test_refused_candidate_leaves_the_live_version(spark, store):
+    live = store.overwrite(items(spark, 10))
+    with pytest.raises(CheckFailed, match="too few"):
+        store.overwrite(items(spark, 1), [lambda d: "too few" if d.count() < 5 else None])
+    assert store.live_version() == live and store.count() == 10
+    with pytest.raises(CheckFailed, match="without key"):
+        store.overwrite(items(spark, 3).withColumn("SK", F.lit(None).cast("string")), [keys_present])
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, store, rows):
+    before = store.overwrite(items(spark, 200))
+    old = {m["bucket"]: m["v"] for m in store._entry(before)["manifest"]}
+    after = store.upsert(rows(ITEM, ("P#1", "S#1", -1), ("P#1", "new", 5)))
+    new = {m["bucket"]: m["v"] for m in store._entry(after)["manifest"]}
+    assert sum(old.get(b) != v for b, v in new.items()) == 1
+    want = content(items(spark, 200)) | {("P#1", "S#1"): -1, ("P#1", "new"): 5}
+    assert content(store.items()) == want
+    assert store.upsert(rows(ITEM)) is None
+    store.upsert(rows(ITEM, ("P#1", "S#1", -1), ("P#1", "new", 5)))
+    assert content(store.items()) == want
+
+
+def test_deleting_a_whole_bucket(spark, store, rows):
+    store.overwrite(rows(ITEM, ("a", "1", 1), ("b", "1", 2)))
+    store.upsert(rows(ITEM + ", op string", ("a", "1", None, "delete")), op="op")
+    assert content(store.items()) == {("b", "1"): 2}
+
+
+def test_batches_are_taken_once(spark, store, rows):
+    store.upsert(rows(ITEM, ("a", "1", 1)), batch=0)
+    assert store.upsert(rows(ITEM, ("a", "1", 99)), batch=0) is None
+    assert content(store.items()) == {("a", "1"): 1} and store.last_batch() == 0
+
+
+def test_lookup_reads_one_bucket(spark, store):
+    store.overwrite(items(spark, 200))
+    found = store.query("P#3", sk_prefix="S#")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert f"{BUCKET}#" in plan and "PartitionFilters: [isnotnull(_bucket" in plan
+    assert "StringStartsWith(SK,S#)" in plan and "EqualTo(PK,P#3)" in plan
+    assert content(found) == {k: v for k, v in content(items(spark, 200)).items() if k[0] == "P#3"}
+    assert [r.v for r in store.get("P#3", "S#23").collect()] == [23]
+
+
+def test_a_bucket_with_one_dominant_collection(spark, store):
+    wide = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("PK"), F.col("id").cast("string").alias("SK"), "id"
+    ).withColumnRenamed("id", "v")
+    store.overwrite(wide)
+    assert store.query("hot").count() == 2000 and store.count() == 3000
+
+
+# -- loads ---------------------------------------------------------------------------------------
+
+
+def albums(spark, upto):
+    return spark.range(1, upto + 1).withColumnRenamed("id", "AlbumId")
+
+
+def album_target(source):
+    def build(batch):
+        return batch.select(
+            F.concat(F.lit("ALBUM#"), F.col("AlbumId").cast("string")).alias("PK"),
+            F.lit("METADATA").alias("SK"),
+            F.lit("Album").alias("EntityType"),
+            "AlbumId",
+        )
+
+    return Target("Catalog", (Entity("Album", source, "AlbumId", build),))
+
+
+def test_interrupted_then_continued_load_equals_one_full_load(spark, scratch):
+    root = scratch()
+    assert Load(spark, root, [album_target(albums(spark, 200))], buckets=4).run()
+    rest = Load(spark, root, [album_target(albums(spark, 347))], buckets=4)
+    assert rest.control.entities("Catalog")["Album"].last_id == 200
+    assert rest.refresh()
+    row = rest.control.entities("Catalog")["Album"]
+    assert (row.migrated, row.total, row.last_id, row.status) == (347, 347, 347, "completed")
+    full = Load(spark, scratch(), [album_target(albums(spark, 347))], buckets=4)
+    full.run()
+    keys = ["PK", "SK", "AlbumId"]
+    left, right = rest.stores["Catalog"].items().select(keys), full.stores["Catalog"].items().select(keys)
+    assert left.exceptAll(right).count() == 0 and right.exceptAll(left).count() == 0
+    # taking the same rows over again changes nothing
+    rest.control.reset({"Catalog": ["Album"]})
+    assert rest.run() and rest.stores["Catalog"].count() == 347
+
+
+def test_failed_target_stops_the_run_and_can_be_resumed(spark, scratch):
+    root = scratch()
+    bad = Target("Second", album_target(albums(spark, 5)).entities, (lambda d: "refused",))
+    good = album_target(albums(spark, 9))
+    third = Target("Third", album_target(albums(spark, 3)).entities)
+    load = Load(spark, root, [good, bad, third], buckets=4)
+    assert not load.run()
+    assert {r.target: r.status for r in load.status().collect()} == {
+        "Catalog": "completed", "Second": "failed", "Third": "not_started",
+    }
+    assert [r.error for r in load.control.errors().collect()] == ["refused"]
+    assert {r.target for r in load.control.pending().collect()} == {"Second", "Third"}
+    again = Load(spark, root, [good, Target("Second", bad.entities), third], buckets=4)
+    assert again.resume()
+    summary = again.control.summary().first()
+    assert (summary.overall_status, summary.completed_tables, summary.total_records, summary.migrated_records) == (
+        "completed", 3, 17, 17,
+    )
+    assert (summary.progress_percentage, summary.error_count) == (100.0, 1)
+    assert {r.target: r.live_items for r in again.status(live=True).collect()} == {"Catalog": 9, "Second": 5, "Third": 3}
+    assert again.control.timeline().where("seconds < 0").count() == 0
+
+
+def test_force_rebuilds_a_completed_target(spark, scratch):
+    root = scratch()
+    load = Load(spark, root, [album_target(albums(spark, 9))], buckets=4)
+    load.run()
+    version = load.stores["Catalog"].live_version()
+    assert load.run() and load.stores["Catalog"].live_version() == version  # completed: skipped
+    assert load.run("Catalog", force=True)
+    assert load.stores["Catalog"].live_version() != version and load.stores["Catalog"].count() == 9
+    load.reset()
+    assert {r.status for r in load.status().collect()} == {"not_started"}
+    assert load.control.summary().first().progress_percentage == 0.0
+
+
+def test_the_four_music_store_targets(spark, scratch):
+    t = music_tables(spark)
+    load = Load(spark, scratch(), music_store_targets(t, line_cap=2, member_cap=5), buckets=4)
+    assert load.run()
+    found = {(r.target, r.entity): (r.source_count, r.target_count) for r in load.validate().collect()}
+    assert found == {
+        ("MusicCatalog", "Artist"): (4, 4),
+        ("MusicCatalog", "Album"): (5, 4),
+        ("MusicCatalog", "Track"): (6, 4),
+        ("CustomerOrders", "CustomerProfile"): (3, 3),
+        ("CustomerOrders", "Order"): (5, 5),
+        ("Playlists", "Playlist"): (3, 3),
+        ("EmployeeManagement", "Employee"): (4, 4),
+    }
+    kept = load.stores["CustomerOrders"].get("CUSTOMER#1", "ORDER#2009-01-01 00:00:00#1").first()
+    assert [x.TrackName for x in kept.LineItems] == ["One", "Two"]
+
+
+def test_control_starts_empty(spark, scratch):
+    control = Control(spark, scratch())
+    assert control.summary().first().total_tables == 0 and control.errors().count() == 0
