@@ -70,6 +70,11 @@ def build_index(target: DataFrame, pk_column: str, sk_column: str | None = None)
     return rows.repartitionByRange(*keys, *tie).sortWithinPartitions(*keys)
 
 
+def save_index(target: DataFrame, path: str, pk_column: str, sk_column: str | None = None) -> None:
+    """Store an index; a lookup on the key skips files and row groups by their value ranges."""
+    build_index(target, pk_column, sk_column).write.parquet(path)
+
+
 def lookup(target: DataFrame, keys: DataFrame, on: str | list[str] = "PK", buckets: int | None = None) -> DataFrame:
     """All items for a table of requested keys in one join.
 

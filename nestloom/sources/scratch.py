@@ -42,9 +42,28 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Parquet under ``path``, or no rows if nothing was written there yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    files, folder = _folder(spark, path)
+    if files.exists(folder):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
+
+
+def subfolders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column, from the folder names ``column=value`` under ``path``."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from nestloom.operators.access import BUCKET, bucket_of, get_item, query
 from nestloom.operators.changes import drop_stale, latest_per_key, replace_rows
 from nestloom.sources.log import AppendLog
-from nestloom.sources.scratch import materialize
+from nestloom.sources.scratch import materialize, remove_folder, subfolders
 
 Check = Callable[[DataFrame], str | None]
 
@@ -104,8 +104,11 @@ class BucketStore:
 
     def last_batch(self) -> int:
         """Greatest feed batch that was published, -1 if none."""
-        top = self.log.read().agg(F.max("batch")).first()[0]
-        return -1 if top is None else top
+        return self._batch(self._entry())
+
+    @staticmethod
+    def _batch(entry: Row | None) -> int:
+        return -1 if entry is None or entry["batch"] is None else entry["batch"]
 
     # -- writing -----------------------------------------------------------------------------
 
@@ -118,31 +121,31 @@ class BucketStore:
         rows = items.select(*self.schema.names).withColumn(BUCKET, bucket_of(F.col(self.keys[0]), self.buckets))
         path = f"{self.root}/data/_v={version}"
         rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
-        return Staged(version, self._present(path), None if replaces is None else tuple(replaces))
-
-    def _present(self, path: str) -> tuple[int, ...]:
-        """Buckets a written folder holds; only the partition column is read."""
-        stored = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        written = self.spark.read.schema(stored).parquet(path).select(BUCKET).distinct()
-        return tuple(sorted(r[0] for r in written.collect()))
+        present = tuple(sorted(int(b) for b in subfolders(self.spark, path, BUCKET)))
+        return Staged(version, present, None if replaces is None else tuple(replaces))
 
     def read_staged(self, staged: Staged) -> DataFrame:
         return self._read([Row(bucket=b, v=staged.version) for b in staged.buckets]).drop(BUCKET)
 
     def publish(self, staged: Staged, checks: Sequence[Check] = (), batch: int | None = None) -> str:
         """Make a staged candidate live after its checks; each check returns a complaint or None."""
-        candidate = self.read_staged(staged)
+        candidate = self.read_staged(staged) if checks else None
         complaints = [c for c in (check(candidate) for check in checks) if c]
         if complaints:
             raise CheckFailed("; ".join(complaints))
         entry = self._entry()
         kept = []
         if staged.replaces is not None and entry is not None:
-            kept = [m for m in entry["manifest"] if m["bucket"] not in staged.replaces]
-        manifest = [(m["bucket"], m["v"]) for m in kept] + [(b, staged.version) for b in staged.buckets]
-        self.log.append({"action": "publish", "version": staged.version, "batch": batch, "manifest": sorted(manifest)})
+            kept = [(m["bucket"], m["v"]) for m in entry["manifest"] if m["bucket"] not in staged.replaces]
+        manifest = sorted(kept + [(b, staged.version) for b in staged.buckets])
+        self._record("publish", staged.version, manifest, max(self._batch(entry), -1 if batch is None else batch))
         return staged.version
 
+    def _record(self, action: str, version: str, manifest: list[tuple[int, str]], batch: int) -> None:
+        """One log entry; it carries the greatest batch taken so far."""
+        kept = None if batch < 0 else batch
+        self.log.append({"action": action, "version": version, "batch": kept, "manifest": manifest})
+
     def overwrite(self, items: DataFrame, checks: Sequence[Check] = (), batch: int | None = None) -> str:
         return self.publish(self.stage(items), checks, batch)
 
@@ -158,14 +161,14 @@ class BucketStore:
 
         A feed batch that was already published is skipped.
         """
-        if batch is not None and batch <= self.last_batch():
+        entry = self._entry()
+        if batch is not None and batch <= self._batch(entry):
             return None
         last = materialize(latest_per_key(changes, self.keys, version), "changes")
         touched_rows = last.select(bucket_of(F.col(self.keys[0]), self.buckets).alias("b")).distinct().collect()
         touched = sorted(r["b"] for r in touched_rows)
         if not touched:
             return None
-        entry = self._entry()
         before = self._read(entry["manifest"] if entry else [], touched).drop(BUCKET)
         if version and version in self.schema.names:
             last = materialize(drop_stale(last, before, self.keys, version), "changes")
@@ -175,10 +178,21 @@ class BucketStore:
     def rollback(self, version: str | None = None) -> str:
         """Make an earlier version live again, by default the one before the live one."""
         history = self.log.read().orderBy(F.desc("seq")).select("version", "manifest")
-        live = self.live_version()
+        entry = self._entry()
+        live = entry["version"] if entry else None
         chosen = history.where(F.col("version") == version if version else F.col("version") != live).first()
         if chosen is None:
             raise ValueError("no earlier version")
         manifest = [(m["bucket"], m["v"]) for m in chosen["manifest"]]
-        self.log.append({"action": "rollback", "version": chosen["version"], "batch": None, "manifest": manifest})
+        self._record("rollback", chosen["version"], manifest, self._batch(entry))
         return chosen["version"]
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Remove folders that none of the newest ``keep`` log entries uses: older versions and
+        candidates that were never published. Not to be run while a write is under way."""
+        newest = self.log.read().orderBy(F.desc("seq")).limit(keep).select("manifest").collect()
+        used = {m["v"] for entry in newest for m in entry["manifest"]}
+        gone = [v for v in subfolders(self.spark, f"{self.root}/data", "_v") if v not in used]
+        for v in gone:
+            remove_folder(self.spark, f"{self.root}/data/_v={v}")
+        return gone

@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from nestloom.operators import profile as profiles, quality, validate
@@ -29,8 +30,21 @@ def test_profile_of_edges(rows):
     assert list(by(profiles.profile(df, "t", ["i"]), "column")) == ["i"]
 
 
-def test_profile_of_an_empty_table(rows):
-    got = by(profiles.profile(rows("i int, s string"), "t"), "column")
+def test_estimated_profile_differs_in_distinct_counts_only(spark):
+    df = spark.range(5000).select(
+        "id", (F.col("id") % 7).cast("double").alias("d"), F.nullif((F.col("id") % 5).cast("string"), F.lit("3")).alias("s")
+    )
+    exact, quick = by(profiles.profile(df, "t"), "column"), by(profiles.profile(df, "t", approximate=True), "column")
+    for c in df.columns:
+        assert abs(exact[c].distinct_values - quick[c].distinct_values) <= 0.1 * exact[c].distinct_values
+        a, b = exact[c].asDict(), quick[c].asDict()
+        assert {k: v for k, v in a.items() if k != "distinct_values"} == {k: v for k, v in b.items() if k != "distinct_values"}
+
+
+@pytest.mark.parametrize("approximate", [False, True])
+def test_profile_of_an_empty_table(rows, approximate):
+    got = by(profiles.profile(rows("i int, s string"), "t", approximate=approximate), "column")
+    assert len(got) == 2
     for r in got.values():
         assert (r.row_count, r.distinct_values, r.null_count, r.null_percentage, r.min_value, r.average_value) == (0, 0, 0, 0.0, None, None)
 

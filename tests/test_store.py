@@ -44,6 +44,23 @@ def test_versions_roll_forward_and_back(spark, store):
         store.read("unknown")
 
 
+def test_expired_folders_are_those_no_kept_version_uses(spark, store, rows):
+    store.overwrite(items(spark, 200))
+    store.upsert(rows(ITEM, ("P#1", "S#1", -1)))
+    with pytest.raises(CheckFailed):
+        store.overwrite(items(spark, 5), [lambda d: "no"])
+    assert len(store.expire(keep=2)) == 1  # the refused candidate; the first version still holds most buckets
+    store.overwrite(items(spark, 7))
+    assert len(store.expire(keep=1)) == 2 and store.count() == 7 and store.expire(keep=1) == []
+
+
+def test_batch_number_survives_other_writes(spark, store, rows):
+    store.upsert(rows(ITEM, ("a", "1", 1)), batch=4)
+    store.overwrite(items(spark, 3))
+    store.rollback()
+    assert store.last_batch() == 4 and store.upsert(rows(ITEM, ("b", "1", 1)), batch=4) is None
+
+
 def test_refused_candidate_leaves_the_live_version(spark, store):
     live = store.overwrite(items(spark, 10))
     with pytest.raises(CheckFailed, match="too few"):
