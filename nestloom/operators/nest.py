@@ -71,6 +71,17 @@ def first_n(df: DataFrame, by: str | Sequence[str], order: Sequence[Column | str
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def giant_groups(sizes: DataFrame, by: Sequence[str], floor: int) -> DataFrame:
+    """The largest groups above ``floor`` rows, with their size ``_n``.
+
+    At most ``spark.sql.shuffle.partitions`` of them, which makes them safe to broadcast; a group not
+    among these holds no more rows than an average partition. The order is total, so the answer is the
+    same wherever it is computed.
+    """
+    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sizes.where(F.col("_n") > floor).orderBy(F.desc("_n"), *by).limit(parts)
+
+
 def bounded_embed(
     parent: DataFrame,
     child: DataFrame,
@@ -93,20 +104,16 @@ def bounded_embed(
     that must be set for a row to count as a child, ``counted`` is a narrower table with the same keys
     and rows to find group sizes in, and ``totals`` are further aggregates over all children.
 
-    Groups above ``floor`` rows that exceed an average shuffle partition are only counted, before any
-    shuffle; at most ``spark.sql.shuffle.partitions`` groups can be that large, so their keys are safe
-    to broadcast. All other groups take one shuffle, and no list grows beyond ``cap``.
+    Giant groups (see ``giant_groups``) are only counted, before any shuffle. All other groups take
+    one shuffle, and no list grows beyond ``cap``.
     """
     keys = _names(on)
-    spark = parent.sparkSession
     for k in [*keys, *([member] if member else [])]:
         child = child.where(F.col(k).isNotNull())
         if counted is not None and k in counted.columns:
             counted = counted.where(F.col(k).isNotNull())
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = (child if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    over = (F.col("_n") > max(floor, cap)) & (F.col("_n") * parts > sizes.agg(F.sum("_n")).scalar())
-    giants = sizes.where(over)
+    giants = giant_groups(sizes, keys, max(floor, cap))
     giant_keys = F.broadcast(giants.select(*keys))
     extra = {f"_{n}": c for n, c in (totals or {}).items()}
 
@@ -141,21 +148,6 @@ def bounded_embed(
     ).drop("_n", "_g_n", *extra, *[f"_g{n}" for n in extra])
 
 
-def large_groups(df: DataFrame, by: Sequence[str], sizes: DataFrame | None, floor: int) -> list[tuple]:
-    """Keys of groups above ``floor`` rows that exceed an average shuffle partition.
-
-    At most ``spark.sql.shuffle.partitions`` groups can do so, which bounds what is collected.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if sizes is None:
-        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    top = sizes.where(F.col("_n") > floor).orderBy(F.desc("_n")).limit(parts).select(*by, "_n").collect()
-    if not top:
-        return []
-    total = sizes.agg(F.sum("_n")).first()[0]
-    return [tuple(r)[:-1] for r in top if r["_n"] * parts > total]
-
-
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join on ``keys`` where NULL equals NULL, keeping the left key columns once."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -204,7 +196,9 @@ def number_rows(
     of the group sizes exists. ``order`` must end in something close to unique.
     """
     keys, ordering = _names(by), [as_column(o) for o in order]
-    large = large_groups(df, keys, sizes, max(floor, above))
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = [tuple(r) for r in giant_groups(sizes, keys, max(floor, above)).select(*keys).collect()]
     window = Window.partitionBy(*keys).orderBy(*ordering)
 
     def number_small(rows: DataFrame) -> DataFrame:

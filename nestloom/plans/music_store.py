@@ -13,6 +13,11 @@ from nestloom.plans.playlists import MEMBER_CAP, playlist_items
 from nestloom.plans.staff import employee_items
 
 
+# Index layout per target, hash key and range key.
+CATALOG_INDEXES = {"GSI1": ("GSI1PK", "GSI1SK"), "GSI2": ("GSI2PK", None)}
+CUSTOMER_INDEXES = {"GSI1": ("GSI1PK", "GSI1SK")}
+
+
 def music_store_targets(
     t: Mapping[str, DataFrame], line_cap: int = LINE_CAP, member_cap: int = MEMBER_CAP
 ) -> list[Target]:
@@ -30,6 +35,7 @@ def music_store_targets(
                     lambda rows: track_items(rows, t["Album"], t["Artist"], t["Genre"], t["MediaType"]),
                 ),
             ),
+            indexes=CATALOG_INDEXES,
         ),
         Target(
             "CustomerOrders",
@@ -49,6 +55,7 @@ def music_store_targets(
                     ),
                 ),
             ),
+            indexes=CUSTOMER_INDEXES,
         ),
         Target(
             "Playlists",

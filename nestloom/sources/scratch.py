@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -47,7 +47,7 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Parquet under ``path``, or no rows if nothing was written there yet."""
     files, folder = _folder(spark, path)
     if files.exists(folder):

@@ -526,6 +526,9 @@ WITH t AS ({_load_counts()})
 SELECT 'completed' AS overall_status, count(*) AS total_tables, count(*) AS completed_tables,
   CAST(sum(total) AS BIGINT) AS total_records, CAST(sum(total) AS BIGINT) AS migrated_records,
   CAST(100 AS DOUBLE) AS progress_percentage, CAST(1 AS BIGINT) AS error_count FROM t""",
+        "lookup_loaded_index": f"""{CATALOG}
+SELECT "PK", "SK", "EntityType", "GSI1PK", "GSI2PK", "UnitPrice" FROM catalog
+WHERE "GSI1PK" = 'ALBUM_TITLE#Customer#000000009' OR "GSI2PK" = 'GENRE#ASIA'""",
         "load_validation": """
 WITH c AS (
   SELECT 'MusicCatalog' AS target, 'Artist' AS entity, count(*) AS n FROM nation

@@ -12,6 +12,7 @@ from nestloom.functions.items import key, money
 from nestloom.operators import access, changes, nest, profile as profiles, quality, validate
 from nestloom.plans import catalog, customers, playlists, staff
 from nestloom.plans.load import Entity, Load, Target
+from nestloom.plans.music_store import CATALOG_INDEXES
 from nestloom.sources import tables as source_tables
 from nestloom.sources.scratch import new_path
 from nestloom.sources.store import BucketStore, CheckFailed
@@ -685,7 +686,19 @@ def progress_summary(r: Roles) -> DataFrame:
     Load(r.spark, root, _load_targets(r, checks=(lambda d: "refused",)), buckets=8).run()
     again = Load(r.spark, root, _load_targets(r), buckets=8)
     again.resume()
-    return again.control.summary()
+    return again.control.summary().drop("start_time", "last_update")
+
+
+@registered
+def lookup_loaded_index(r: Roles) -> DataFrame:
+    """Items by album title and by genre from the stored indexes of a loaded target."""
+    target = _load_targets(r)[0]
+    indexed = Target(target.name, target.entities, target.checks, CATALOG_INDEXES)
+    load = Load(r.spark, new_path(r.spark, "load"), [indexed], buckets=8)
+    load.run()
+    one = load.query_index("MusicCatalog", "GSI1", "ALBUM_TITLE#Customer#000000009")
+    many = load.query_index("MusicCatalog", "GSI2", "GENRE#ASIA")
+    return one.unionByName(many).select("PK", "SK", "EntityType", "GSI1PK", "GSI2PK", "UnitPrice")
 
 
 @registered

@@ -10,7 +10,7 @@ from nestloom.operators.nest import (
     child_sums,
     entity_counts,
     first_n,
-    large_groups,
+    giant_groups,
     nest_tree,
     number_rows,
     paginate,
@@ -51,11 +51,16 @@ def test_bounded_embed_with_and_without_giant_groups(family, floor):
         assert (None if r.kids is None else [tuple(k) for k in r.kids]) == (kids if len(kids) <= 5 else None)
 
 
-def test_giants_are_found_and_bounded(family):
+def test_giants_are_found_and_bounded(family, spark):
     _, children = family
-    found = large_groups(children, ["id"], None, 50)
-    assert {k for (k,) in found} == {1, 4, 7}
-    assert large_groups(children, ["id"], None, 10_000) == []
+    sizes = children.groupBy("id").agg(F.count("*").alias("_n"))
+    assert {r.id: r._n for r in giant_groups(sizes, ["id"], 50).collect()} == {1: 400, 4: 200, 7: 300}
+    assert giant_groups(sizes, ["id"], 10_000).count() == 0
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        assert [r.id for r in giant_groups(sizes, ["id"], 50).collect()] == [1, 7]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_member_rows_decide_presence(rows):

@@ -72,6 +72,7 @@ def test_rules_pass_or_name_the_first_failure(rows):
 def test_oversize_counts_bytes(rows):
     df = rows("a string", ("é" * 10,), ("e" * 10,))
     assert [r.item_bytes for r in quality.oversize(df, 20).collect()] == [len('{"a":""}') + 20]
+    assert [r.a for r in quality.apply_rules(df, quality.size_rule(df, 20))[0].collect()] == ["e" * 10]
 
 
 def test_missing_and_altered_items_are_named(rows):

@@ -202,6 +202,11 @@ def test_the_four_music_store_targets(spark, scratch):
     }
     kept = load.stores["CustomerOrders"].get("CUSTOMER#1", "ORDER#2009-01-01 00:00:00#1").first()
     assert [x.TrackName for x in kept.LineItems] == ["One", "Two"]
+    assert [r.SK for r in load.query_index("MusicCatalog", "GSI1", "ALBUM_TITLE#Ten").collect()] == ["ALBUM#10"]
+    assert [r.SK for r in load.query_index("MusicCatalog", "GSI2", "GENRE#Rock", limit=50).collect()] == ["TRACK#1"]
+    assert [r.PK for r in load.query_index("CustomerOrders", "GSI1", "EMAIL#bob@x.it").collect()] == ["CUSTOMER#2"]
+    load.stores["CustomerOrders"].overwrite(load.stores["CustomerOrders"].items().limit(0))
+    assert load.index("CustomerOrders", "GSI1").count() == 0  # never an index of another version
 
 
 def test_control_starts_empty(spark, scratch):
