@@ -267,7 +267,10 @@ def nest_tree(
     takes one place on a page; a root without children is a page with no children.
     """
     flat = root.join(child, root_on, "left").join(leaf, child_on, "left")
-    numbered = number_rows(flat, root_on, [child_on, leaf_key], "_rn", floor=floor)
+    # tree sizes without joining the leaves: leaves per child, summed per root
+    per_child = child_counts(child.select(child_on, root_on), leaf.select(child_on), child_on, "_leaves")
+    sizes = per_child.groupBy(root_on).agg(F.sum(F.greatest("_leaves", F.lit(1))).alias("_n"))
+    numbered = number_rows(flat, root_on, [child_on, leaf_key], "_rn", sizes, floor)
     paged = numbered.withColumn("page", F.floor((F.col("_rn") - 1) / size) + 1).repartition(root_on, "page")
     root_columns = list(dict.fromkeys([root_on, *root_fields]))
     child_columns = list(dict.fromkeys([child_on, *child_fields]))

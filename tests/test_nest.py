@@ -138,6 +138,18 @@ def test_tree_keeps_childless_roots_and_leafless_children(rows):
     ]
 
 
+def test_tree_of_giant_roots(spark):
+    """Two roots, one with most of all leaves, numbered over many tasks."""
+    root = spark.range(2).withColumnRenamed("id", "r")
+    child = spark.range(10).select(F.col("id").alias("c"), F.when(F.col("id") < 8, 0).otherwise(1).cast("bigint").alias("r"))
+    leaf = spark.range(1000).select(F.col("id").alias("x"), (F.col("id") % 9).alias("c"))
+    pages = nest_tree(root, child, leaf, "r", "c", [], [], [], "x", 30, floor=50).collect()
+    found = sorted((p.r, p.page, k.c, x.x) for p in pages for k in p.children for x in k.leaves)
+    assert [(r, c, x) for r, _, c, x in found] == sorted((int(x % 9 >= 8), x % 9, x) for x in range(1000))
+    assert all(p.leaf_count <= 30 for p in pages)
+    assert {(p.r, k.c) for p in pages for k in p.children if not k.leaves} == {(1, 9)}
+
+
 def test_union_of_shapes(rows):
     both = union_items(rows("EntityType string, a int", ("A", 1)), rows("EntityType string, b int", ("B", 2), ("B", 3)))
     assert both.columns == ["EntityType", "a", "b"]

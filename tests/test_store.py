@@ -150,6 +150,12 @@ def test_interrupted_then_continued_load_equals_one_full_load(spark, scratch):
     assert rest.run() and rest.stores["Catalog"].count() == 347
 
 
+def test_first_load_keeps_one_item_per_key(spark, scratch):
+    source = albums(spark, 50).withColumn("AlbumId", F.col("AlbumId") % 40)
+    load = Load(spark, scratch(), [album_target(source)], buckets=4)
+    assert load.run() and load.stores["Catalog"].count() == 40
+
+
 def test_failed_target_stops_the_run_and_can_be_resumed(spark, scratch):
     root = scratch()
     bad = Target("Second", album_target(albums(spark, 5)).entities, (lambda d: "refused",))
