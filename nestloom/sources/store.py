@@ -51,7 +51,7 @@ class BucketStore:
         self.log = AppendLog(
             spark,
             f"{self.root}/log",
-            "action string, version string, batch bigint, manifest array<struct<bucket:int,v:string>>",
+            "action string, version string, feed string, batch bigint, manifest array<struct<bucket:int,v:string>>",
         )
 
     # -- reading -----------------------------------------------------------------------------
@@ -96,19 +96,19 @@ class BucketStore:
         return get_item(self.read(), pk, sk, buckets=self.buckets).drop(BUCKET)
 
     def versions(self) -> DataFrame:
-        return self.log.read().select("seq", "at", "action", "version", "batch", F.size("manifest").alias("folders"))
+        return self.log.read().select("seq", "at", "action", "version", "feed", "batch", F.size("manifest").alias("folders"))
 
     def live_version(self) -> str | None:
         entry = self._entry()
         return entry["version"] if entry else None
 
-    def last_batch(self) -> int:
-        """Greatest feed batch that was published, -1 if none."""
-        return self._batch(self._entry())
+    def last_batch(self, feed: str | None = None) -> int:
+        """Greatest batch of ``feed`` that was published, -1 if none."""
+        return self._batch(self._entry(), feed)
 
     @staticmethod
-    def _batch(entry: Row | None) -> int:
-        return -1 if entry is None or entry["batch"] is None else entry["batch"]
+    def _batch(entry: Row | None, feed: str | None) -> int:
+        return -1 if entry is None or entry["batch"] is None or entry["feed"] != feed else entry["batch"]
 
     # -- writing -----------------------------------------------------------------------------
 
@@ -127,7 +127,9 @@ class BucketStore:
     def read_staged(self, staged: Staged) -> DataFrame:
         return self._read([Row(bucket=b, v=staged.version) for b in staged.buckets]).drop(BUCKET)
 
-    def publish(self, staged: Staged, checks: Sequence[Check] = (), batch: int | None = None) -> str:
+    def publish(
+        self, staged: Staged, checks: Sequence[Check] = (), batch: int | None = None, feed: str | None = None
+    ) -> str:
         """Make a staged candidate live after its checks; each check returns a complaint or None."""
         candidate = self.read_staged(staged) if checks else None
         complaints = [c for c in (check(candidate) for check in checks) if c]
@@ -138,16 +140,25 @@ class BucketStore:
         if staged.replaces is not None and entry is not None:
             kept = [(m["bucket"], m["v"]) for m in entry["manifest"] if m["bucket"] not in staged.replaces]
         manifest = sorted(kept + [(b, staged.version) for b in staged.buckets])
-        self._record("publish", staged.version, manifest, max(self._batch(entry), -1 if batch is None else batch))
+        self._record("publish", staged.version, manifest, entry, batch, feed)
         return staged.version
 
-    def _record(self, action: str, version: str, manifest: list[tuple[int, str]], batch: int) -> None:
-        """One log entry; it carries the greatest batch taken so far."""
-        kept = None if batch < 0 else batch
-        self.log.append({"action": action, "version": version, "batch": kept, "manifest": manifest})
+    def _record(
+        self,
+        action: str,
+        version: str,
+        manifest: list[tuple[int, str]],
+        before: Row | None,
+        batch: int | None = None,
+        feed: str | None = None,
+    ) -> None:
+        """One log entry; without a batch of its own it carries the feed position on."""
+        if batch is None and before is not None:
+            batch, feed = before["batch"], before["feed"]
+        self.log.append({"action": action, "version": version, "feed": feed, "batch": batch, "manifest": manifest})
 
-    def overwrite(self, items: DataFrame, checks: Sequence[Check] = (), batch: int | None = None) -> str:
-        return self.publish(self.stage(items), checks, batch)
+    def overwrite(self, items: DataFrame, checks: Sequence[Check] = ()) -> str:
+        return self.publish(self.stage(items), checks)
 
     def upsert(
         self,
@@ -155,14 +166,15 @@ class BucketStore:
         version: str | None = None,
         op: str | None = None,
         batch: int | None = None,
+        feed: str | None = None,
         checks: Sequence[Check] = (),
     ) -> str | None:
         """Replace whole items by key; only buckets that hold a changed key are rewritten.
 
-        A feed batch that was already published is skipped.
+        A batch of the same feed that was already published is skipped.
         """
         entry = self._entry()
-        if batch is not None and batch <= self._batch(entry):
+        if batch is not None and batch <= self._batch(entry, feed):
             return None
         last = materialize(latest_per_key(changes, self.keys, version), "changes")
         touched_rows = last.select(bucket_of(F.col(self.keys[0]), self.buckets).alias("b")).distinct().collect()
@@ -173,7 +185,7 @@ class BucketStore:
         if version and version in self.schema.names:
             last = materialize(drop_stale(last, before, self.keys, version), "changes")
         after = replace_rows(before, last, self.keys, op)
-        return self.publish(self.stage(after, touched), checks, batch)
+        return self.publish(self.stage(after, touched), checks, batch, feed)
 
     def rollback(self, version: str | None = None) -> str:
         """Make an earlier version live again, by default the one before the live one."""
@@ -184,7 +196,7 @@ class BucketStore:
         if chosen is None:
             raise ValueError("no earlier version")
         manifest = [(m["bucket"], m["v"]) for m in chosen["manifest"]]
-        self._record("rollback", chosen["version"], manifest, self._batch(entry))
+        self._record("rollback", chosen["version"], manifest, entry)
         return chosen["version"]
 
     def expire(self, keep: int = 2) -> list[str]:

@@ -40,7 +40,9 @@ def apply_feed(
 
     def take(batch: DataFrame, number: int) -> None:
         changes = batch if to_changes is None else to_changes(batch)
-        store.upsert(changes, version, op, batch=number)
+        # the query id lives in the checkpoint: batch numbers of a new checkpoint start over
+        feed_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        store.upsert(changes, version, op, batch=number, feed=feed_id)
 
     writer = feed.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     if available_now:

@@ -11,9 +11,9 @@ def test_feed_takes_each_file_once_and_late_changes_lose(spark, scratch, rows):
     arrived = lambda *values: rows(CHANGE, *values).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     store = BucketStore(spark, f"{folder}/store", CHANGE, keys=["user"], buckets=4)
 
-    def run():
+    def run(checkpoint="checkpoint"):
         feed = file_feed(spark, f"{folder}/in", CHANGE, files_per_batch=1)
-        apply_feed(store, feed, f"{folder}/checkpoint", "n").awaitTermination()
+        apply_feed(store, feed, f"{folder}/{checkpoint}", "n").awaitTermination()
         return {r.user: r.v for r in store.items().collect()}
 
     arrived((1, 1, "a"), (1, 3, "c"), (2, 1, "x"))
@@ -22,6 +22,11 @@ def test_feed_takes_each_file_once_and_late_changes_lose(spark, scratch, rows):
     assert run() == {1: "c", 2: "x"} and store.versions().count() == versions
     arrived((1, 2, "late"), (3, 1, "new"))
     assert run() == {1: "c", 2: "x", 3: "new"}
+    feeds = lambda: {r.feed for r in store.versions().collect()}
+    assert len(feeds()) == 1 and None not in feeds()
+    # a new checkpoint starts over: its batches are taken again, nothing is lost or undone
+    arrived((4, 1, "more"))
+    assert run("second") == {1: "c", 2: "x", 3: "new", 4: "more"} and len(feeds()) == 2
 
 
 def test_feed_can_shape_and_delete(spark, scratch, rows):

@@ -90,9 +90,11 @@ def test_deleting_a_whole_bucket(spark, store, rows):
 
 
 def test_batches_are_taken_once(spark, store, rows):
-    store.upsert(rows(ITEM, ("a", "1", 1)), batch=0)
-    assert store.upsert(rows(ITEM, ("a", "1", 99)), batch=0) is None
-    assert content(store.items()) == {("a", "1"): 1} and store.last_batch() == 0
+    store.upsert(rows(ITEM, ("a", "1", 1)), batch=0, feed="f")
+    assert store.upsert(rows(ITEM, ("a", "1", 99)), batch=0, feed="f") is None
+    assert content(store.items()) == {("a", "1"): 1} and store.last_batch("f") == 0
+    assert store.last_batch("g") == -1 and store.upsert(rows(ITEM, ("a", "1", 2)), batch=0, feed="g")
+    assert content(store.items()) == {("a", "1"): 2}
 
 
 def test_lookup_reads_one_bucket(spark, store):
