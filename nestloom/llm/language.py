@@ -1,8 +1,9 @@
 """Language identification by compression (operator 2).
 
-Each language has a raw-content dictionary: training text of that language. A text is cut into chunks, all
-of them are compressed with every dictionary, and the language with the smallest total wins. The margin to
-the runner-up tells how sure that is; ``rejected`` marks texts whose margin is too narrow.
+Each language has a raw-content dictionary: training text of that language. A text is reduced to its
+letters, lower-cased and cut into chunks, all of them are compressed with every dictionary, and the language
+with the smallest total wins. The margin to the runner-up tells how sure that is; ``rejected`` marks texts
+whose margin is too narrow.
 """
 
 from __future__ import annotations
@@ -14,11 +15,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-_LETTER = re.compile(r"[^\W\d_]")
+_NO_LETTERS = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
 
 
-def fit_dictionaries(train: DataFrame, dictionary_bytes: int = 110_000, texts: int = 200, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
+def _letters(text: str) -> str:
+    return _NO_LETTERS.sub(" ", text.lower()).strip()
+
+
+def fit_dictionaries(train: DataFrame, dictionary_bytes: int = 32_000, texts: int = 200, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
     """Dictionary per language from at most about ``texts`` sampled texts of each language.
 
     The sample is bounded by these parameters, not by the input, and each text gives an equal share of its
@@ -31,7 +36,7 @@ def fit_dictionaries(train: DataFrame, dictionary_bytes: int = 110_000, texts: i
     sampled = labelled.sampleBy("lang", {lang: min(1.0, texts / n) for lang, n in counts.items()}, 11)
     found: dict[str, list[str]] = {lang: [] for lang in counts}
     for row in sampled.select("lang", F.substring("text", 1, 4 * share).alias("text")).collect():
-        found[row["lang"]].append(row["text"].lower())
+        found[row["lang"]].append(_letters(row["text"]))
     out = {}
     for lang, values in sorted(found.items()):
         each = max(share, dictionary_bytes // max(1, len(values)))
@@ -44,6 +49,7 @@ def classify(
     dictionaries: dict[str, bytes],
     narrow: float = 0.01,
     chunk_bytes: int = 4096,
+    level: int = 6,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -62,15 +68,16 @@ def classify(
         compressors = []
         for lang in languages:
             learned = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            learned.precompute_compress(level=3)
-            compressors.append(zstandard.ZstdCompressor(level=3, dict_data=learned, write_content_size=False, write_dict_id=False))
+            learned.precompute_compress(level=level)
+            compressors.append(zstandard.ZstdCompressor(level=level, dict_data=learned, write_content_size=False, write_dict_id=False))
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
-                if not text or not compressors or not _LETTER.search(text):
+                letters = _letters(text) if text and compressors else ""
+                if not letters:
                     out.append((UNKNOWN, 0.0, 0.0, True))
                     continue
-                data = text.lower().encode("utf-8", "surrogatepass")
+                data = letters.encode()
                 chunks = [data[i : i + chunk_bytes] for i in range(0, len(data), chunk_bytes)]
                 sizes = [sum(len(c.compress(chunk)) for chunk in chunks) for c in compressors]
                 best = min(range(len(sizes)), key=sizes.__getitem__)

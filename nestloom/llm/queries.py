@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestloom.llm import content_sort as sorting, language, packing
+from nestloom.llm import content_sort as sorting, language, ngram_join, packing
 from nestloom.llm.common import documents, fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(documents(spark, sf_dir))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held = fold(F.col("doc_id"), 5) == 0
@@ -27,7 +31,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir)))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op2_language_id, op3_exact_dedup, op10_best_fit_packing)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_language_id, op3_exact_dedup, op10_best_fit_packing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
