@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestloom.llm import content_sort as sorting, language, ngram_join, packing
-from nestloom.llm.common import documents, fold
+from nestloom.llm import chat, content_sort as sorting, language, ngram_join, packing, quality_trees, toxicity
+from nestloom.llm.common import documents, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +27,30 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorting.content_sort(documents(spark, sf_dir), keep="largest")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = documents(spark, sf_dir), fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.examples(turns.unionByName(extra)))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = documents(spark, sf_dir), fold(F.col("doc_id"), 3) == 1
+    model = quality_trees.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    return quality_trees.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir)))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_language_id, op3_exact_dedup, op10_best_fit_packing)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_language_id, op3_exact_dedup, op4_toxicity, op5_chat_formatting, op6_quality, op10_best_fit_packing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
