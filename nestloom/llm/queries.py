@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestloom.llm import chat, content_sort as sorting, language, ngram_join, packing, quality_trees, suffix_dedup, toxicity, weighted_sampling
+from nestloom.llm import chat, content_sort as sorting, language, mixing, ngram_join, packing, quality_trees, suffix_dedup, toxicity, weighted_sampling
 from nestloom.llm.common import documents, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints(documents(spark, sf_dir))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"), F.round("mix_probability", 6).alias("probability"), F.col("mix_kept").alias("kept"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("spans")
 
@@ -58,7 +63,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir)))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_language_id, op3_exact_dedup, op4_toxicity, op5_chat_formatting, op6_quality, op7_fingerprints, op9_suffix_dedup, op10_best_fit_packing)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_language_id, op3_exact_dedup, op4_toxicity, op5_chat_formatting, op6_quality, op7_fingerprints, op8_mixing, op9_suffix_dedup, op10_best_fit_packing)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -260,3 +260,17 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return rows.mapInArrow(scored, "id bigint, score double, predicted int").withColumnRenamed("id", id_col)
+
+
+def reject(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns, whatever these are called."""
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = TextFeatures(model.landmarks)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                yield part.filter(pa.array(model.scores(features.of(part.column(place).to_pylist())) < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
