@@ -230,6 +230,8 @@ class Bucket:
 
 def _edges(span: int):
     def compare(group: pd.DataFrame) -> pd.DataFrame:
+        # rows repeated with one id bring the same context again
+        group = group.drop_duplicates(["h", "id", "tie", "at", "far", "near"], ignore_index=True)
         bucket = Bucket(group, span)
         bucket.scan()
         ids, ties, at = group["id"].to_numpy(), group["tie"].to_numpy(), group["at"].to_numpy()
