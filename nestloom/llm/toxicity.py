@@ -23,7 +23,7 @@ from nestloom.llm.samples import labelled_sample
 
 ORDER = 3  # characters in a common subsequence
 DECAY = 0.6  # factor for each character that a subsequence spans
-FLOOR = 0.45  # kernel values up to here count as no likeness
+FLOOR, FULL = 0.4, 0.7  # normalised kernel values up to the first count as no likeness, from the second as full likeness
 WIDTH = 24  # longer words are looked at in windows of this width, half overlapping
 _COMMON = 0.5  # share of a landmark's pairs of characters that a word needs to be compared with it
 _CACHE = 400_000
@@ -118,7 +118,7 @@ class WordFeatures:
             for k in np.flatnonzero(values > FLOOR).tolist():
                 for i in users[pieces[at + int(row[k])]]:
                     vector = found.setdefault(i, np.zeros(len(self.landmarks)))
-                    vector[mark[k]] = max(vector[mark[k]], (values[k] - FLOOR) / (1 - FLOOR))
+                    vector[mark[k]] = max(vector[mark[k]], min(1.0, (values[k] - FLOOR) / (FULL - FLOOR)))
         return found
 
 
