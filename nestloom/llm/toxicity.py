@@ -23,7 +23,7 @@ from nestloom.llm.samples import labelled_sample
 
 ORDER = 3  # characters in a common subsequence
 DECAY = 0.6  # factor for each character that a subsequence spans
-FLOOR, FULL = 0.4, 0.7  # normalised kernel values up to the first count as no likeness, from the second as full likeness
+FLOOR, FULL = 0.4, 0.8  # normalised kernel values up to the first count as no likeness, from the second as full likeness
 WIDTH = 24  # longer words are looked at in windows of this width, half overlapping
 _COMMON = 0.5  # share of a landmark's pairs of characters that a word needs to be compared with it
 _CACHE = 400_000
