@@ -3,24 +3,21 @@
 A parent may own any share of all child rows, so nothing here gathers a whole group:
 
 * counts are combined before the shuffle;
-* embedding keeps the rows of giant groups out of the shuffle, since only their count is wanted;
-* first-n cuts every group before the shuffle;
-* numbering hands giant groups to a range-partitioned plan, many tasks per group.
+* embedding and first-n cut every group inside each task before the shuffle;
+* numbering sorts by range, so that a group spreads over as many tasks as it needs.
+
+One plan serves groups of every size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nestloom.functions.items import as_column
 from nestloom.sources.scratch import materialize
 
-# Groups up to this size are numbered by one task.
-ONE_TASK_ROWS = 1_000_000
-
-
 def _names(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
@@ -50,38 +47,11 @@ def child_sums(parent: DataFrame, child: DataFrame, on: str | Sequence[str], **s
 
 
 def first_n(df: DataFrame, by: str | Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
-    """The first ``n`` rows of every group.
-
-    Spark cuts each group to ``n`` rows per task before the shuffle (``WindowGroupLimit``) while ``n``
-    is below its threshold. Beyond it a salted first cut does the same, spreading a large group over
-    many tasks; a row among the first ``n`` of its group is among the first ``n`` of its share.
-    """
-    keys, ordering = _names(by), [as_column(o) for o in order]
-    spark = df.sparkSession
-    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n >= limit:
-        shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = (
-            df.withColumn("_share", F.pmod(F.xxhash64(*df.columns), F.lit(shares)))
-            .withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_share").orderBy(*ordering)))
-            .where(F.col("_rn") <= n)
-            .drop("_share", "_rn")
-        )
-    window = Window.partitionBy(*keys).orderBy(*ordering)
+    """The first ``n`` rows of every group; Spark cuts each group to ``n`` rows per task before the shuffle."""
+    window = Window.partitionBy(*_names(by)).orderBy(*[as_column(o) for o in order])
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def giant_groups(sizes: DataFrame, by: Sequence[str], floor: int) -> DataFrame:
-    """The largest groups above ``floor`` rows, with their size ``_n``.
-
-    At most ``spark.sql.shuffle.partitions`` of them, which makes them safe to broadcast; a group not
-    among these holds no more rows than an average partition. The order is total, so the answer is the
-    same wherever it is computed.
-    """
-    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return sizes.where(F.col("_n") > floor).orderBy(F.desc("_n"), *by).limit(parts)
-
-
 def bounded_embed(
     parent: DataFrame,
     child: DataFrame,
@@ -93,59 +63,41 @@ def bounded_embed(
     count_name: str,
     large_name: str,
     member: str | None = None,
-    counted: DataFrame | None = None,
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
     totals: Mapping[str, Column] | None = None,
-    floor: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``parent`` with its children as an ordered array of structs.
 
     ``count_name`` is always exact. The array is empty for no children and NULL above ``cap``, where
     ``large_name`` is true; ``paginate`` gives the rows of those. ``member`` names the child column
-    that must be set for a row to count as a child, ``counted`` is a narrower table with the same keys
-    and rows to find group sizes in, and ``totals`` are further aggregates over all children.
+    that must be set for a row to count as a child, ``totals`` are further aggregates over all children,
+    and ``enrich`` adds fields to the child rows that remain. Order ends in the child's other fields.
 
-    Giant groups (see ``giant_groups``) are only counted, before any shuffle. All other groups take
-    one shuffle, and no list grows beyond ``cap``.
+    Counts and totals are combined in each task before their shuffle. Lists start from at most ``cap`` rows
+    per group and task, so a parent that owns a third of all rows is like any other.
     """
     keys = _names(on)
     for k in [*keys, *([member] if member else [])]:
         child = child.where(F.col(k).isNotNull())
-        if counted is not None and k in counted.columns:
-            counted = counted.where(F.col(k).isNotNull())
-    sizes = (child if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    giants = giant_groups(sizes, keys, max(floor, cap))
-    giant_keys = F.broadcast(giants.select(*keys))
     extra = {f"_{n}": c for n, c in (totals or {}).items()}
-
-    ties = [f for f in fields if f not in order]
+    sums = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in extra.items()])
+    ties = [f for f in fields if f not in order and f in child.columns]
     window = Window.partitionBy(*keys).orderBy(*order, *ties)
-    kept = F.when(F.col("_rn") <= cap, F.struct("_rn", F.struct(*fields).alias("v")))
-    lists = (
-        child.join(giant_keys, keys, "left_anti")
-        .withColumn("_rn", F.row_number().over(window))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.transform(F.array_sort(F.collect_list(kept)), lambda e: e["v"]).alias(name),
-            *[c.alias(n) for n, c in extra.items()],
-        )
-    )
-    if extra:
-        giants = child.join(giant_keys, keys, "left_semi").groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in extra.items()]
-        )
-    giants = giants.withColumnsRenamed({n: f"_g{n}" for n in ["_n", *extra]})
+    kept = child.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= cap)
+    kept = kept if enrich is None else enrich(kept)
+    placed = F.struct("_rn", F.struct(*fields).alias("v"))
+    lists = kept.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(placed)), lambda e: e["v"]).alias(name))
     empty = F.array().cast(lists.schema[name].dataType)
-    total = F.coalesce("_n", "_g_n", F.lit(0).cast("bigint"))
-    found = parent.join(lists, keys, "left").join(F.broadcast(giants), keys, "left")
+    total = F.coalesce("_n", F.lit(0).cast("bigint"))
+    found = parent.join(sums, keys, "left").join(lists, keys, "left")
     return found.withColumns(
         {
             count_name: total,
             name: F.when(total == 0, empty).when(total <= cap, F.col(name)),
             large_name: total > cap,
-            **{n: F.coalesce(f"_{n}", f"_g_{n}") for n in (totals or {})},
+            **{n: F.col(f"_{n}") for n in (totals or {})},
         }
-    ).drop("_n", "_g_n", *extra, *[f"_g{n}" for n in extra])
+    ).drop("_n", *extra)
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -187,35 +139,20 @@ def number_rows(
     order: Sequence[Column | str],
     name: str = "rn",
     sizes: DataFrame | None = None,
-    floor: int = ONE_TASK_ROWS,
     above: int = 0,
 ) -> DataFrame:
     """Row numbers from 1 within each group of more than ``above`` rows, exact for groups of any size.
 
-    Runs one counting job to find large groups; pass ``sizes`` (keys and ``_n``) if a cheaper source
-    of the group sizes exists. ``order`` must end in something close to unique.
+    Smaller groups are left out before anything is sorted, by ``sizes`` (keys and ``_n``) if a cheaper source
+    of the group sizes exists. Runs a job that writes the sorted slices. ``order`` must end in something
+    close to unique.
     """
     keys, ordering = _names(by), [as_column(o) for o in order]
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = [tuple(r) for r in giant_groups(sizes, keys, max(floor, above)).select(*keys).collect()]
-    window = Window.partitionBy(*keys).orderBy(*ordering)
-
-    def number_small(rows: DataFrame) -> DataFrame:
-        numbered = rows.withColumn(name, F.row_number().over(window).cast("bigint"))
-        if not above:
-            return numbered
-        size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        return numbered.withColumn("_size", size).where(F.col("_size") > above).drop("_size")
-
-    if not large:
-        return number_small(df)
-    schema = T.StructType([df.schema[k] for k in keys])
-    marks = df.sparkSession.createDataFrame(large, schema).withColumn("_large", F.lit(True))
-    marked = _join_null_safe(df, F.broadcast(marks), keys, "left")
-    small = marked.where(F.col("_large").isNull()).drop("_large")
-    rest = marked.where("_large").drop("_large")
-    return number_small(small).unionByName(_number_by_range(rest, keys, ordering, name))
+    if above:
+        if sizes is None:
+            sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        df = _join_null_safe(df, sizes.where(F.col("_n") > above).select(*keys), keys, "left_semi")
+    return _number_by_range(df, keys, ordering, name)
 
 
 def paginate(
@@ -227,7 +164,6 @@ def paginate(
     name: str = "members",
     above: int = 0,
     sizes: DataFrame | None = None,
-    floor: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """One row per (group, page): pages are numbered from 1 and hold up to ``size`` ordered structs.
 
@@ -235,7 +171,7 @@ def paginate(
     """
     keys = _names(by)
     ties = [f for f in fields if f not in order]
-    numbered = number_rows(child, keys, [*order, *ties], "_rn", sizes, floor, above)
+    numbered = number_rows(child, keys, [*order, *ties], "_rn", sizes, above)
     placed = F.struct("_rn", F.struct(*fields).alias("v"))
     return (
         numbered.withColumn("page", F.floor((F.col("_rn") - 1) / size) + 1)
@@ -258,7 +194,6 @@ def nest_tree(
     leaf_fields: Sequence[str],
     leaf_key: str,
     size: int,
-    floor: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Three-level documents ``root{children[{…, leaves[…]}]}`` from two left joins.
 
@@ -267,10 +202,7 @@ def nest_tree(
     takes one place on a page; a root without children is a page with no children.
     """
     flat = root.join(child, root_on, "left").join(leaf, child_on, "left")
-    # tree sizes without joining the leaves: leaves per child, summed per root
-    per_child = child_counts(child.select(child_on, root_on), leaf.select(child_on), child_on, "_leaves")
-    sizes = per_child.groupBy(root_on).agg(F.sum(F.greatest("_leaves", F.lit(1))).alias("_n"))
-    numbered = number_rows(flat, root_on, [child_on, leaf_key], "_rn", sizes, floor)
+    numbered = number_rows(flat, root_on, [child_on, leaf_key], "_rn")
     paged = numbered.withColumn("page", F.floor((F.col("_rn") - 1) / size) + 1).repartition(root_on, "page")
     root_columns = list(dict.fromkeys([root_on, *root_fields]))
     child_columns = list(dict.fromkeys([child_on, *child_fields]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from nestloom.functions.items import key, money, number, text
-from nestloom.operators.nest import ONE_TASK_ROWS, bounded_embed, child_counts, paginate, union_items
+from nestloom.operators.nest import bounded_embed, child_counts, paginate, union_items
 
 MEMBER_CAP = 100
 MEMBER_FIELDS = ["TrackId", "Name", "Duration", "UnitPrice", "ArtistName", "AlbumTitle"]
@@ -51,7 +51,6 @@ def playlist_items(
         "TrackCount",
         "LargePlaylist",
         member="TrackId",
-        counted=playlist_track.select("PlaylistId", "TrackId"),
         totals={"TotalDuration": F.sum("Milliseconds")},
     )
     return lists.select(
@@ -73,7 +72,6 @@ def playlist_pages(
     album: DataFrame,
     artist: DataFrame,
     cap: int = MEMBER_CAP,
-    floor: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Pages of ``cap`` members for every container that is too large to embed them."""
     sizes = (
@@ -83,7 +81,7 @@ def playlist_pages(
     )
     members = member_rows(playlist_track, track, album, artist).drop("Milliseconds")
     pages = paginate(
-        members, "PlaylistId", ["Name", "TrackId"], cap, MEMBER_FIELDS, "Tracks", above=cap, sizes=sizes, floor=floor
+        members, "PlaylistId", ["Name", "TrackId"], cap, MEMBER_FIELDS, "Tracks", above=cap, sizes=sizes
     )
     return pages.select(
         key("PLAYLIST", "PlaylistId").alias("PK"),

@@ -54,6 +54,29 @@ order_items AS (
     CASE WHEN n IS NULL THEN '[]' WHEN n <= {ORDER_CAP} THEN items END AS "LineItems"
   FROM orders LEFT JOIN lines ON l_orderkey = o_orderkey)"""
 
+ORDER_PAGES = f"""
+order_pages AS (
+  SELECT 'CUSTOMER#' || o_custkey AS "PK",
+    'ORDER_LINES#' || strftime(o_orderdate, '{ISO}') || '#' || o_orderkey || '#PAGE#' || page AS "SK",
+    'OrderLinesPage' AS "EntityType", o_orderkey AS "InvoiceId", page AS "Page", count(*) AS "PageLineCount",
+    '[' || string_agg(
+      '{{"InvoiceLineId":' || l_linenumber || ',"TrackId":' || l_partkey
+      || ',"UnitPrice":' || CAST(price AS VARCHAR) || ',"Quantity":' || quantity
+      || {_optional("TrackName", "p_name")}
+      || {_optional("ArtistName", "n_name")}
+      || {_optional("AlbumTitle", "s_name")} || '}}', ',' ORDER BY rn) || ']' AS "LineItems"
+  FROM (
+    SELECT *, CAST((rn - 1) // {ORDER_CAP} + 1 AS BIGINT) AS page FROM (
+      SELECT *, CAST(l_extendedprice AS {MONEY}) AS price, CAST(l_quantity AS BIGINT) AS quantity,
+        count(*) OVER (PARTITION BY l_orderkey) AS n,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, CAST(l_extendedprice AS {MONEY}), CAST(l_quantity AS BIGINT)) AS rn
+      FROM lineitem) WHERE n > {ORDER_CAP})
+  JOIN orders ON o_orderkey = l_orderkey
+  LEFT JOIN part ON p_partkey = l_partkey
+  LEFT JOIN supplier ON s_suppkey = p_size
+  LEFT JOIN nation ON n_nationkey = s_nationkey
+  GROUP BY o_custkey, o_orderdate, o_orderkey, page)"""
+
 PROFILES = f"""
 profiles AS (
   SELECT 'CUSTOMER#' || c_custkey AS "PK", 'PROFILE' AS "SK", 'CustomerProfile' AS "EntityType",
@@ -74,8 +97,8 @@ profiles AS (
   GROUP BY c_custkey, c_name, n_name, c_mktsegment, c_acctbal, c_nationkey, s_name)"""
 
 CUSTOMER_TARGET = f"""
-WITH {LINES}, {ORDER_ITEMS}, {PROFILES},
-target AS (SELECT * FROM profiles UNION ALL BY NAME SELECT * FROM order_items)"""
+WITH {LINES}, {ORDER_ITEMS}, {ORDER_PAGES}, {PROFILES},
+target AS (SELECT * FROM profiles UNION ALL BY NAME SELECT * FROM order_items UNION ALL BY NAME SELECT * FROM order_pages)"""
 
 ARTISTS = """
 artists AS (
@@ -290,6 +313,13 @@ def sql() -> dict[str, str]:
         "order_documents": f"WITH {LINES}, {ORDER_ITEMS} SELECT * FROM order_items",
         "customer_profiles": f"WITH {PROFILES} SELECT * FROM profiles",
         "customer_orders_target": f"{CUSTOMER_TARGET} SELECT * FROM target",
+        "customer_orders_whole": f"""
+WITH o AS (SELECT o_orderkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey)
+SELECT 'CustomerProfile' AS "EntityType", count(*) AS items, CAST(NULL AS BIGINT) AS lines, CAST(NULL AS BIGINT) AS paged_lines,
+  CAST(NULL AS BIGINT) AS held_lines FROM customer
+UNION ALL SELECT 'Order', count(*), CAST(sum(n) AS BIGINT), NULL, CAST(sum(n) FILTER (n <= {ORDER_CAP}) AS BIGINT) FROM o
+UNION ALL SELECT 'OrderLinesPage', CAST(sum(ceil(n / {ORDER_CAP}.0)) AS BIGINT), NULL, CAST(sum(n) AS BIGINT), CAST(sum(n) AS BIGINT)
+FROM o WHERE n > {ORDER_CAP}""",
         "root_rollup": f"WITH {ARTISTS} SELECT * FROM artists",
         "mid_rollup": f"WITH {ALBUMS} SELECT * FROM albums",
         "leaf_enriched": f"WITH {TRACKS} SELECT * FROM tracks",
@@ -398,7 +428,9 @@ SELECT "PK", "SK", o_orderkey, o_totalprice FROM (
   FROM orders) WHERE rn <= 3""",
         "access_counts": """
 SELECT 'customer with orders' AS pattern,
-  (SELECT count(*) FROM customer WHERE c_custkey = 1) + (SELECT count(*) FROM orders WHERE o_custkey = 1) AS items
+  (SELECT count(*) FROM customer WHERE c_custkey = 1) + (SELECT count(*) FROM orders WHERE o_custkey = 1)
+  + (SELECT CAST(coalesce(sum((n + 4) // 5), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+     WHERE o_custkey = 1 GROUP BY l_orderkey) WHERE n > 5) AS items
 UNION ALL SELECT 'customer orders', (SELECT count(*) FROM orders WHERE o_custkey = 1)
 UNION ALL SELECT 'orders of a month', (SELECT count(*) FROM orders WHERE o_custkey = 2 AND strftime(o_orderdate, '%Y') = '1998')
 UNION ALL SELECT 'profile', (SELECT count(*) FROM customer WHERE c_custkey = 9)

@@ -10,7 +10,6 @@ from nestloom.operators.nest import (
     child_sums,
     entity_counts,
     first_n,
-    giant_groups,
     nest_tree,
     number_rows,
     paginate,
@@ -35,12 +34,11 @@ def brute(children):
     return {k: sorted(v) for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("floor", [1_000_000, 50])
-def test_bounded_embed_with_and_without_giant_groups(family, floor):
+def test_bounded_embed_with_a_giant_group(family):
     parents, children = family
     got = bounded_embed(
         parents, children, "id", ["rank", "label"], ["rank"], 5, "kids", "n", "is_large",
-        totals={"total": F.sum("rank")}, floor=floor,
+        totals={"total": F.sum("rank")},
     ).collect()
     want = brute(children)
     assert len(got) == len(SIZES)
@@ -51,30 +49,10 @@ def test_bounded_embed_with_and_without_giant_groups(family, floor):
         assert (None if r.kids is None else [tuple(k) for k in r.kids]) == (kids if len(kids) <= 5 else None)
 
 
-def test_giants_are_found_and_bounded(family, spark):
-    _, children = family
-    sizes = children.groupBy("id").agg(F.count("*").alias("_n"))
-    assert {r.id: r._n for r in giant_groups(sizes, ["id"], 50).collect()} == {1: 400, 4: 200, 7: 300}
-    assert giant_groups(sizes, ["id"], 10_000).count() == 0
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
-    try:
-        assert [r.id for r in giant_groups(sizes, ["id"], 50).collect()] == [1, 7]
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-
-
-def test_member_rows_decide_presence(rows):
-    parents = rows("id bigint", (1,), (2,))
-    children = rows("id bigint, line bigint", (1, 0), (2, None))
-    got = bounded_embed(parents, children, "id", ["line"], ["line"], 3, "k", "n", "big", member="line")
-    assert {r.id: (r.n, [x.line for x in r.k]) for r in got.collect()} == {1: (1, [0]), 2: (0, [])}
-
-
-@pytest.mark.parametrize("floor", [1_000_000, 50])
 @pytest.mark.parametrize("above", [0, 5])
-def test_number_rows_exact_for_any_group_size(family, floor, above):
+def test_number_rows_exact_for_any_group_size(family, above):
     _, children = family
-    got = number_rows(children, "id", ["rank", "label"], "rn", floor=floor, above=above).collect()
+    got = number_rows(children, "id", ["rank", "label"], "rn", above=above).collect()
     want = {k: v for k, v in brute(children).items() if len(v) > above}
     seen = defaultdict(dict)
     for r in got:
@@ -85,7 +63,7 @@ def test_number_rows_exact_for_any_group_size(family, floor, above):
 
 def test_number_rows_when_the_giant_has_no_key(spark):
     df = spark.range(500).select(F.when(F.col("id") > 400, 1).alias("k"), "id")
-    got = number_rows(df, "k", ["id"], "rn", floor=50)
+    got = number_rows(df, "k", ["id"], "rn")
     assert {(r.k, r.a, r.b, r.n) for r in got.groupBy("k").agg(F.min("rn").alias("a"), F.max("rn").alias("b"), F.count("*").alias("n")).collect()} == {
         (None, 1, 401, 401),
         (1, 1, 99, 99),
@@ -93,10 +71,9 @@ def test_number_rows_when_the_giant_has_no_key(spark):
     assert got.where("k is null").where("rn != id + 1").count() == 0
 
 
-@pytest.mark.parametrize("floor", [1_000_000, 50])
-def test_pages_rejoined_are_the_full_list(family, floor):
+def test_pages_rejoined_are_the_full_list(family):
     _, children = family
-    pages = paginate(children, "id", ["rank"], 100, ["rank", "label"], "kids", above=100, floor=floor).collect()
+    pages = paginate(children, "id", ["rank"], 100, ["rank", "label"], "kids", above=100).collect()
     want = {k: v for k, v in brute(children).items() if len(v) > 100}
     assert {k: sorted(p.page for p in pages if p.id == k) for k in want} == {1: [1, 2, 3, 4], 4: [1, 2], 7: [1, 2, 3]}
     for k, kids in want.items():
@@ -105,17 +82,16 @@ def test_pages_rejoined_are_the_full_list(family, floor):
         assert [p.page_rows for p in mine[:-1]] == [100] * (len(mine) - 1)
 
 
-def test_first_n_plain_and_salted_agree(family, spark):
+def test_first_n_below_and_above_the_limit_that_spark_cuts_at(family, spark):
     _, children = family
-    plain = first_n(children, "id", ["rank", "label"], 4).collect()
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
-    try:
-        salted = first_n(children, "id", ["rank", "label"], 4).collect()
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     want = sorted((k or -1, *x) for k, v in brute(children).items() for x in v[:4])
-    assert sorted((r.id or -1, r.rank, r.label) for r in plain) == want
-    assert sorted((r.id or -1, r.rank, r.label) for r in salted) == want
+    for limit in ("1000", "2"):
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)
+        try:
+            got = first_n(children, "id", ["rank", "label"], 4).collect()
+        finally:
+            spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+        assert sorted((r.id or -1, r.rank, r.label) for r in got) == want
 
 
 def test_counts_and_sums(rows):
@@ -143,7 +119,7 @@ def test_tree_of_giant_roots(spark):
     root = spark.range(2).withColumnRenamed("id", "r")
     child = spark.range(10).select(F.col("id").alias("c"), F.when(F.col("id") < 8, 0).otherwise(1).cast("bigint").alias("r"))
     leaf = spark.range(1000).select(F.col("id").alias("x"), (F.col("id") % 9).alias("c"))
-    pages = nest_tree(root, child, leaf, "r", "c", [], [], [], "x", 30, floor=50).collect()
+    pages = nest_tree(root, child, leaf, "r", "c", [], [], [], "x", 30).collect()
     found = sorted((p.r, p.page, k.c, x.x) for p in pages for k in p.children for x in k.leaves)
     assert [(r, c, x) for r, _, c, x in found] == sorted((int(x % 9 >= 8), x % 9, x) for x in range(1000))
     assert all(p.leaf_count <= 30 for p in pages)
@@ -162,7 +138,7 @@ def test_union_of_shapes(rows):
 def test_embed_matches_plain_python(spark, data, cap):
     parents = spark.range(4).withColumnRenamed("id", "k")
     children = spark.createDataFrame(data, "k bigint, v bigint")
-    for r in bounded_embed(parents, children, "k", ["v"], ["v"], cap, "kids", "n", "big", floor=3).collect():
+    for r in bounded_embed(parents, children, "k", ["v"], ["v"], cap, "kids", "n", "big").collect():
         mine = sorted(v for k, v in data if k == r.k)
         assert r.n == len(mine) and r.big == (len(mine) > cap)
         assert (None if r.kids is None else [x.v for x in r.kids]) == (mine if len(mine) <= cap else None)

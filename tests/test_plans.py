@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from nestloom.suite.queries import REGISTRY
 from nestloom.suite.roles import Roles
@@ -37,14 +38,22 @@ def test_column_pruning_and_pushdown(spark):
     assert set(re.findall(r"ReadSchema: struct<([^>]*)>", counts)) == {""}
 
 
-def test_embedding_takes_one_shuffle_of_the_lines(spark):
+def test_embedding_shuffles_counts_and_cut_lines_only(spark):
     r = Roles(spark, FOLDER)
-    df = customers.order_items(r.invoice(), *r.line_parts(), cap=5)
-    df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
-    shuffles = re.findall(r"Exchange hashpartitioning\(InvoiceId", final)
-    assert len(shuffles) <= 2  # lines once, orders at most once; giant groups turned out empty
-    assert "WindowGroupLimit" not in final
+    lines = r.invoice_line().withColumn("Quantity", F.col("Quantity") * 1)
+    text = plan(customers.order_items(r.invoice(), lines, *r.line_parts()[1:], cap=5))
+    assert "WindowGroupLimit" in text and text.count("lineitem.parquet") == 2  # counted once, cut and listed once
+
+
+def test_one_order_with_a_third_of_all_lines_keeps_every_line(spark):
+    r = Roles(spark, FOLDER)
+    lines = r.invoice_line().withColumn("InvoiceId", F.when(F.col("TrackId") % 3 == 0, 1).otherwise(F.col("InvoiceId")).cast("bigint"))
+    found = customers.orders_with_pages(r.invoice(), r.customer(), lines, *r.line_parts()[1:], cap=5)
+    held = found.groupBy("EntityType").agg(F.sum(F.size("LineItems")).alias("n"), F.sum("PageLineCount").alias("paged")).collect()
+    sums = {x.EntityType: x for x in held}
+    assert sums["OrderLinesPage"].n == sums["OrderLinesPage"].paged
+    listed = found.where("EntityType = 'Order' AND LineItems IS NOT NULL").agg(F.sum(F.size("LineItems"))).first()[0]
+    assert listed + sums["OrderLinesPage"].n == lines.join(r.invoice(), "InvoiceId").count()
 
 
 def test_first_n_is_cut_before_the_shuffle(spark):
