@@ -9,13 +9,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+def exact_text(c: Column) -> Column:
+    """A floating number's shortest exact text without exponent; NULL for NaN and infinity."""
+    text = c.cast("string")
+    body, power = F.replace(F.split_part(text, F.lit("E"), F.lit(1)), F.lit("-"), F.lit("")), F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")
+    whole = F.split_part(body, F.lit("."), F.lit(1))
+    rest = F.nullif(F.split_part(body, F.lit("."), F.lit(2)), F.lit("0"))
+    rest = F.coalesce(rest, F.lit(""))
+    n = F.length(rest)
+    large = F.when(n <= power, F.concat(whole, rest, F.repeat(F.lit("0"), power - n))).otherwise(
+        F.concat(whole, F.substring(rest, F.lit(1), power), F.lit("."), F.substring(rest, power + 1, n))
+    )
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), whole, rest)
+    expanded = F.concat(F.when(F.startswith(text, F.lit("-")), "-").otherwise(""), F.when(power >= 0, large).otherwise(small))
+    finite = ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
+    return F.when(finite, F.when(F.contains(text, F.lit("E")), expanded).otherwise(text))
+
+
 def typed_value(c: Column, dtype: T.DataType) -> Column:
     """One tagged value; NULL in, NULL out."""
     if isinstance(dtype, T.BooleanType):
         tagged = F.struct(c.alias("BOOL"))
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-        # a double prints with an exponent from 1e7 on; a decimal does not
-        tagged = F.struct(c.cast("decimal(38,6)").cast("string").alias("N"))
+        number = exact_text(c)
+        return F.when(number.isNotNull(), F.struct(number.alias("N")))
     elif isinstance(dtype, T.NumericType):
         tagged = F.struct(c.cast("string").alias("N"))
     elif isinstance(dtype, T.ArrayType):

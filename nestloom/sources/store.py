@@ -5,21 +5,25 @@ touched buckets only, checks them, and then publishes a new map with one log ent
 the old state or the new one and a lost executor or driver leaves the live version as it was.
 Earlier versions stay readable and can be made live again.
 
-Layout: ``data/_v=<id>/_bucket=<n>/*.parquet`` and ``log/*.parquet``. One writer at a time.
+Rows are sorted by key inside a bucket, so a lookup skips files and row groups by their value ranges.
+Secondary indexes are copies of a bucket's rows sorted by index key. They are written with the bucket and
+named by the same log entry, so no writer can leave an index behind its table.
+
+Layout: ``data/_v=<id>/_bucket=<n>``, ``index/<name>/_v=<id>/_bucket=<n>`` and ``log``. One writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from nestloom.operators.access import BUCKET, bucket_of, get_item, query
 from nestloom.operators.changes import drop_stale, latest_per_key, replace_rows
 from nestloom.sources.log import AppendLog
-from nestloom.sources.scratch import materialize, remove_folder, subfolders
+from nestloom.sources.scratch import remove_folder, subfolders, written
 
 Check = Callable[[DataFrame], str | None]
 
@@ -33,6 +37,7 @@ class Staged:
     version: str
     buckets: tuple[int, ...]
     replaces: tuple[int, ...] | None  # None: all buckets
+    indexed: Mapping[str, tuple[int, ...]] = field(default_factory=dict)  # buckets with rows, by index
 
 
 class BucketStore:
@@ -45,34 +50,37 @@ class BucketStore:
         schema: T.StructType | str,
         keys: Sequence[str] = ("PK", "SK"),
         buckets: int = 64,
+        indexes: Mapping[str, tuple[str, str | None]] | None = None,
     ):
+        """``indexes``: name to hash key and range key (or None)."""
         self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+        self.indexes = dict(indexes or {})
         self.schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         self.log = AppendLog(
             spark,
             f"{self.root}/log",
-            "action string, version string, feed string, batch bigint, manifest array<struct<bucket:int,v:string>>",
+            "action string, version string, feed string, batch bigint, "
+            "manifest array<struct<bucket:int,v:string,built:array<string>,held:array<string>>>",
         )
 
     # -- reading -----------------------------------------------------------------------------
 
     def _entry(self, version: str | None = None) -> Row | None:
-        log = self.log.read()
-        if version is not None:
-            log = log.where(F.col("version") == version)
-        return log.orderBy(F.desc("seq")).first()
+        if version is None:
+            return self.log.newest()
+        return self.log.read().where(F.col("version") == version).orderBy(F.desc("seq")).first()
 
-    def _read(self, manifest: Sequence[Row], only: Sequence[int] | None = None) -> DataFrame:
+    def _read(self, manifest: Sequence[Row], only: Sequence[int] | None = None, under: str = "data") -> DataFrame:
         stored = T.StructType(self.schema.fields + [T.StructField("_v", T.StringType()), T.StructField(BUCKET, T.IntegerType())])
         wanted = None if only is None else set(only)
         paths = [
-            f"{self.root}/data/_v={m['v']}/{BUCKET}={m['bucket']}"
+            f"{self.root}/{under}/_v={m['v']}/{BUCKET}={m['bucket']}"
             for m in manifest
             if wanted is None or m["bucket"] in wanted
         ]
         if not paths:
             return self.spark.createDataFrame([], stored).drop("_v")
-        reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
+        reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/{under}")
         return reader.parquet(*paths).drop("_v")
 
     def read(self, version: str | None = None) -> DataFrame:
@@ -95,6 +103,23 @@ class BucketStore:
     def get(self, pk: str, sk: str) -> DataFrame:
         return get_item(self.read(), pk, sk, buckets=self.buckets).drop(BUCKET)
 
+    def index(self, name: str, version: str | None = None) -> DataFrame:
+        """Items that have the index key; fails if part of the version was written without this index."""
+        if name not in self.indexes:
+            raise ValueError(f"no index {name!r}")
+        entry = self._entry(version)
+        manifest = entry["manifest"] if entry else []
+        lacking = [m["bucket"] for m in manifest if name not in (m["built"] or [])]
+        if lacking:
+            raise ValueError(f"index {name!r} was not written for {len(lacking)} buckets")
+        return self._read([m for m in manifest if name in m["held"]], under=f"index/{name}").drop(BUCKET)
+
+    def query_index(self, name: str, pk: str, **options) -> DataFrame:
+        """Items found by index key, in range-key order where the index has one."""
+        found = self.index(name)
+        pk_column, sk_column = self.indexes[name]
+        return query(found, pk, pk_column=pk_column, sk_column=sk_column, **options)
+
     def versions(self) -> DataFrame:
         return self.log.read().select("seq", "at", "action", "version", "feed", "batch", F.size("manifest").alias("folders"))
 
@@ -120,9 +145,19 @@ class BucketStore:
         version = uuid.uuid4().hex
         rows = items.select(*self.schema.names).withColumn(BUCKET, bucket_of(F.col(self.keys[0]), self.buckets))
         path = f"{self.root}/data/_v={version}"
-        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
-        present = tuple(sorted(int(b) for b in subfolders(self.spark, path, BUCKET)))
-        return Staged(version, present, None if replaces is None else tuple(replaces))
+        rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.keys).write.partitionBy(BUCKET).parquet(path)
+        present = self._folders(path)
+        indexed = {}
+        for name, keys in self.indexes.items():
+            columns = [k for k in keys if k is not None]
+            copy, target = self._read([Row(bucket=b, v=version) for b in present]), f"{self.root}/index/{name}/_v={version}"
+            copy = copy.where(F.col(columns[0]).isNotNull()).hint("rebalance", BUCKET)
+            copy.sortWithinPartitions(BUCKET, *columns).write.partitionBy(BUCKET).parquet(target)
+            indexed[name] = self._folders(target)
+        return Staged(version, present, None if replaces is None else tuple(replaces), indexed)
+
+    def _folders(self, path: str) -> tuple[int, ...]:
+        return tuple(sorted(int(b) for b in subfolders(self.spark, path, BUCKET)))
 
     def read_staged(self, staged: Staged) -> DataFrame:
         return self._read([Row(bucket=b, v=staged.version) for b in staged.buckets]).drop(BUCKET)
@@ -138,8 +173,10 @@ class BucketStore:
         entry = self._entry()
         kept = []
         if staged.replaces is not None and entry is not None:
-            kept = [(m["bucket"], m["v"]) for m in entry["manifest"] if m["bucket"] not in staged.replaces]
-        manifest = sorted(kept + [(b, staged.version) for b in staged.buckets])
+            kept = [tuple(m) for m in entry["manifest"] if m["bucket"] not in staged.replaces]
+        built = list(staged.indexed)
+        fresh = [(b, staged.version, built, [n for n in built if b in staged.indexed[n]]) for b in staged.buckets]
+        manifest = sorted(kept + fresh, key=lambda m: m[0])
         self._record("publish", staged.version, manifest, entry, batch, feed)
         return staged.version
 
@@ -147,7 +184,7 @@ class BucketStore:
         self,
         action: str,
         version: str,
-        manifest: list[tuple[int, str]],
+        manifest: list[tuple],
         before: Row | None,
         batch: int | None = None,
         feed: str | None = None,
@@ -176,16 +213,16 @@ class BucketStore:
         entry = self._entry()
         if batch is not None and batch <= self._batch(entry, feed):
             return None
-        last = materialize(latest_per_key(changes, self.keys, version), "changes")
-        touched_rows = last.select(bucket_of(F.col(self.keys[0]), self.buckets).alias("b")).distinct().collect()
-        touched = sorted(r["b"] for r in touched_rows)
-        if not touched:
-            return None
-        before = self._read(entry["manifest"] if entry else [], touched).drop(BUCKET)
-        if version and version in self.schema.names:
-            last = materialize(drop_stale(last, before, self.keys, version), "changes")
-        after = replace_rows(before, last, self.keys, op)
-        return self.publish(self.stage(after, touched), checks, batch, feed)
+        with written(latest_per_key(changes, self.keys, version), "changes") as last:
+            touched_rows = last.select(bucket_of(F.col(self.keys[0]), self.buckets).alias("b")).distinct().collect()
+            touched = sorted(r["b"] for r in touched_rows)
+            if not touched:
+                return None
+            before = self._read(entry["manifest"] if entry else [], touched).drop(BUCKET)
+            if version and version in self.schema.names:
+                last = drop_stale(last, before, self.keys, version)
+            staged = self.stage(replace_rows(before, last, self.keys, op), touched)
+        return self.publish(staged, checks, batch, feed)
 
     def rollback(self, version: str | None = None) -> str:
         """Make an earlier version live again, by default the one before the live one."""
@@ -195,7 +232,7 @@ class BucketStore:
         chosen = history.where(F.col("version") == version if version else F.col("version") != live).first()
         if chosen is None:
             raise ValueError("no earlier version")
-        manifest = [(m["bucket"], m["v"]) for m in chosen["manifest"]]
+        manifest = [tuple(m) for m in chosen["manifest"]]
         self._record("rollback", chosen["version"], manifest, entry)
         return chosen["version"]
 
@@ -206,5 +243,6 @@ class BucketStore:
         used = {m["v"] for entry in newest for m in entry["manifest"]}
         gone = [v for v in subfolders(self.spark, f"{self.root}/data", "_v") if v not in used]
         for v in gone:
-            remove_folder(self.spark, f"{self.root}/data/_v={v}")
+            for under in ["data", *[f"index/{n}" for n in self.indexes]]:
+                remove_folder(self.spark, f"{self.root}/{under}/_v={v}")
         return gone

@@ -6,7 +6,9 @@ the order line or the bridge, part the product, supplier the playlist member or
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from nestloom.functions.items import ISO_FORMAT, money
 from nestloom.sources.tables import read_table
@@ -15,11 +17,16 @@ from nestloom.sources.tables import read_table
 class Roles:
     """Role tables over one data folder; every method is lazy."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, only: Mapping[str, Column] | None = None):
+        """``only``: conditions on tables, for loads from an earlier state; ``tables`` may be set to other states."""
+        self.spark, self.folder, self.only = spark, folder, dict(only or {})
+        self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        found = self.tables.get(name)
+        if found is None:
+            found = read_table(self.spark, self.folder, name)
+        return found.where(self.only[name]) if name in self.only else found
 
     # -- catalog: region > nation > customer > orders -----------------------------------------
 

@@ -14,8 +14,8 @@ from nestloom.sources.tables import read_table
 FOLDER = "/root/testdata/sf0.001"
 # these write targets or run feeds; what they return is a plain read
 RUNNERS = {
-    "extraction_metrics", "feed_upsert", "load_validation", "lookup_loaded_index", "lookup_stored", "pending_targets", "progress_summary",
-    "resume_equivalence", "rollback_version", "staged_promote",
+    "extraction_metrics", "feed_upsert", "index_after_upsert", "load_validation", "load_with_updates_and_deletes", "lookup_loaded_index",
+    "refresh_equivalence",
 }
 
 

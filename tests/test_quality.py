@@ -81,7 +81,8 @@ def test_missing_and_altered_items_are_named(rows):
     found = {r.k: r.issue for r in validate.compare_rows(want, have, ["k"]).collect()}
     assert found == {2: "missing", 3: "altered", 4: "unexpected"}
     assert {r.k: r.issue for r in validate.sample_check(want, have, ["k"], 1.0).collect()} == found
-    assert validate.sample_check(want, have, ["k"], 0.0).count() == 0
+    with pytest.raises(ValueError, match="empty sample"):
+        validate.sample_check(want, have, ["k"], 0.0)
     counts = validate.reconcile({"t": ([want], have), "u": ([want, want], have)}).collect()
     assert {r.name: (r.source_count, r.target_count, r.count_match) for r in counts} == {"t": (3, 3, True), "u": (6, 3, False)}
 
