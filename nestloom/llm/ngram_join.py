@@ -40,7 +40,7 @@ def _least(percent: int, n: str = "n") -> str:
 
 def _extra(n):
     """Further hashes that partners have in common when both send so many more."""
-    return 1 + n // 20
+    return 1 + n // 40
 
 
 def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str, percent: int | None) -> DataFrame:
@@ -150,37 +150,78 @@ def _first_bucket(percent: int):
     return visit
 
 
+class _Partners:
+    """Which pairs of a bucket have to be compared there, judged without their tokens."""
+
+    def __init__(self, group: pd.DataFrame, percent: int):
+        self.percent = percent
+        self.bucket, one, two = (int(group[c].iloc[0]) for c in ("bucket", "one", "two"))
+        self.apart = group["block"].to_numpy() if one != two else None
+        self.n, self.size, self.place = (group[c].to_numpy() for c in ("n", "size", "place"))
+        self.keys = [np.asarray(k) for k in group["keys"]]
+        self.flat, lengths = np.concatenate(self.keys), np.array([len(k) for k in self.keys])
+        self.starts = np.cumsum(lengths) - lengths
+        self.within = np.arange(len(self.flat)) - np.repeat(self.starts, lengths)
+        self.own = np.array([int(np.flatnonzero(k == self.bucket)[0]) for k in self.keys])
+        _, self.label = np.unique(group["component"].to_numpy(), return_inverse=True)
+
+    def of(self, i: int) -> np.ndarray:
+        """Partners of ``i`` in other components whose first common token is this bucket's.
+
+        All common tokens then come from there on, which bounds the overlap.
+        """
+        left = self.size - self.place
+        need = -(-self.percent * (self.n[i] + self.n) // (100 + self.percent))
+        wanted = (self.label != self.label[i]) & (np.minimum(left, left[i]) >= need)
+        if self.apart is not None:
+            wanted &= self.apart != self.apart[i]
+        if wanted.any():
+            first = np.where(np.isin(self.flat, self.keys[i]), self.within, len(self.flat))
+            wanted &= np.minimum.reduceat(first, self.starts) == self.own
+        return wanted
+
+
+def _needed(percent: int):
+    """Rows of a bucket that have to be compared with some other one."""
+
+    def visit(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("id", kind="stable").drop_duplicates("id").reset_index(drop=True)
+        partners, keep = _Partners(group, percent), np.zeros(len(group), bool)
+        for i in range(len(group)):
+            wanted = partners.of(i)
+            keep[i] |= wanted.any()
+        return group[keep]
+
+    return visit
+
+
 def _other_buckets(percent: int):
     def visit(group: pd.DataFrame) -> pd.DataFrame:
-        bucket, one, two = (int(group[c].iloc[0]) for c in ("bucket", "one", "two"))
         group = group.sort_values("id", kind="stable").drop_duplicates("id")
-        ids, block = group["id"].to_numpy(), group["block"].to_numpy()
-        keys = [np.asarray(k) for k in group["keys"]]
-        flat, starts = np.concatenate(keys), np.cumsum([0, *map(len, keys)])[:-1]
-        _, label = np.unique(group["component"].to_numpy(), return_inverse=True)
-
-        def allowed(i: int) -> np.ndarray:
-            # a pair belongs to the smallest bucket it has in common, and to one pair of blocks
-            common = np.where(np.isin(flat, keys[i]), flat, np.iinfo(np.int64).max)
-            here = np.minimum.reduceat(common, starts) == bucket
-            return here & (block != block[i]) if one != two else here
-
-        found = bucket_links(list(group["tokens"]), group["n"].to_numpy(), percent, label.copy(), allowed)
+        ids, partners = group["id"].to_numpy(), _Partners(group, percent)
+        found = bucket_links(list(group["tokens"]), partners.n, percent, partners.label.copy(), partners.of)
         return pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["a", "b"], dtype="int64")
 
     return visit
 
 
+_ROW = "id bigint, bucket bigint, component bigint, block int, one int, two int, n bigint, size int, place int, keys array<bigint>"
+
+
 def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
     """Links that connect all that similarity connects; ``sets``: id, n, tokens (rarest first), prefix."""
-    entries = sets.select("id", F.explode("prefix").alias("token"))
-    lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("same"))
-    chosen = lists.where("docs > 1").groupBy("same", "docs").agg(F.min("token").alias("bucket")).select("bucket", "docs")
-    buckets = materialize(entries.withColumnRenamed("token", "bucket").join(chosen, "bucket"), "buckets")
-
-    blocks = F.ceil(F.col("docs") / block).cast("int")
-    largest = buckets.groupBy("id").agg(F.max(F.struct("docs", "bucket")).alias("m")).select("id", "m.docs", "m.bucket")
-    visits = largest.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).drop("docs").join(sets.drop("prefix"), "id")
+    entries = sets.select("id", F.posexplode("prefix").alias("place", "t")).select("id", "place", "t.docs", "t.h")
+    lists = entries.groupBy("h").agg(
+        F.count(F.lit(1)).alias("here"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("same"), F.max("docs").alias("docs")
+    )
+    # of tokens with the same documents the first in the global order stands for all
+    chosen = lists.where("here > 1").groupBy("same", "here").agg(F.min(F.struct("docs", "h")).alias("t")).select(F.col("t.h").alias("h"), "here")
+    buckets = materialize(entries.join(chosen, "h").withColumnRenamed("h", "bucket"), "buckets")
+
+    blocks = F.ceil(F.col("here") / block).cast("int")
+    full = sets.select("id", "tokens")
+    largest = buckets.groupBy("id").agg(F.max(F.struct("here", "bucket")).alias("m")).select("id", "m.here", "m.bucket")
+    visits = largest.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).drop("here").join(sets.select("id", "n", "tokens"), "id")
     first = materialize(visits.groupBy("bucket", "block").applyInPandas(_first_bucket(percent), "a bigint, b bigint"), "links")
 
     known = components(first)
@@ -188,12 +229,15 @@ def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = materialize(labelled.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
-    keys = open_.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))
+    keys = open_.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("place", "bucket"))).alias("k")).select("id", F.col("k.bucket").alias("keys"))
+    facts = keys.join(sets.select("id", "n", F.size("tokens").alias("size")), "id")
     rows = open_.withColumn("_of", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("_of")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
     rows = rows.withColumn("one", F.least("block", "_other")).withColumn("two", F.greatest("block", "_other"))
-    rows = rows.select("id", "bucket", "component", "block", "one", "two").join(sets.drop("prefix"), "id").join(keys, "id")
-    rest = rows.groupBy("bucket", "one", "two").applyInPandas(_other_buckets(percent), "a bigint, b bigint")
+    rows = rows.join(facts, "id").select(*[c.split()[0] for c in _ROW.split(", ")])
+    # whole sets travel only to where they have to be compared
+    needed = materialize(rows.groupBy("bucket", "one", "two").applyInPandas(_needed(percent), _ROW), "needed")
+    rest = needed.join(full, "id").groupBy("bucket", "one", "two").applyInPandas(_other_buckets(percent), "a bigint, b bigint")
     return materialize(first.union(rest), "links")
 
 
@@ -214,17 +258,16 @@ def jaccard_classes(
     sent = found.join(same.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi").select("id", "n", F.explode("hashes").alias("h"))
     shared = sent.groupBy("h").count().where("count > 1").select("h")
     enough = sent.join(shared, "h", "left_semi").groupBy("id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c"))
-    alive = materialize(enough.where(f"c >= 1 + {_least(percent)} div 20").select("id"), "alive")
+    alive = materialize(enough.where(f"c >= 1 + {_least(percent)} div 40").select("id"), "alive")
 
     # order by rarity
-    texts = docs.join(alive.withColumnRenamed("id", id_col), id_col, "left_semi")
-    tokens = shingle_sets(texts, width, id_col, text_col, None).select("id", "n", F.explode("hashes").alias("h"))
-    tokens = materialize(tokens, "tokens")
+    # the ids grow with the input, so they are never broadcast: one plan for every size
+    texts = docs.select(id_col, text_col).join(alive.withColumnRenamed("id", id_col).hint("merge"), id_col, "left_semi")
+    tokens = materialize(shingle_sets(texts, width, id_col, text_col, None).select("id", F.explode("hashes").alias("h")), "tokens")
     often = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    sets = tokens.join(often, "h").groupBy("id").agg(F.max("n").alias("n"), F.sort_array(F.collect_set(F.struct("docs", "h"))).alias("s"))
-    sets = sets.where(f"size(s) >= {_least(percent)}").select(
-        "id", "n", F.col("s.h").alias("tokens"), F.expr(f"slice(s.h, 1, int(greatest(1, size(s) - {_least(percent)} + 1)))").alias("prefix")
-    )
+    sets = tokens.join(often, "h").groupBy("id").agg(F.sort_array(F.collect_set(F.struct("docs", "h"))).alias("s"))
+    sets = sets.join(same.groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n")), "id").where(f"size(s) >= {_least(percent)}")
+    sets = sets.select("id", "n", F.col("s.h").alias("tokens"), F.expr(f"slice(s, 1, int(size(s) - {_least(percent)} + 1))").alias("prefix"))
     linked = components(_links(materialize(sets, "ordered"), percent, block))
 
     classes = same.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("_c"))
