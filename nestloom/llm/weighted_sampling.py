@@ -16,12 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from nestloom.llm.common import materialize, partitions
 
 SAMPLES = 64
+_AT_ONCE = 8  # samples drawn in one pass over a term; more make code too large for the JVM to compile
 _BITS = 28  # bits that tell a drawn (term, weight) pair from others
 
 
-def _draw(term: Column, log_weight: Column, sample: int) -> Column:
+def _draw(term: Column, log_weight: Column, sample: Column) -> Column:
     """Rank of a term in one sample above, the drawn pair's hash below: the least one is the draw."""
-    h = F.xxhash64(term, F.lit(sample))
+    h = F.xxhash64(term, sample)
 
     def uniform(skip: int, bits: int) -> Column:
         return (F.shiftrightunsigned(h, skip).bitwiseAND(F.lit((1 << bits) - 1)) + 0.5) / float(1 << bits)
@@ -50,8 +51,12 @@ def signatures(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> Dat
     words = texts.select(*keys, F.explode(terms(F.col("text"))).alias("word")).where("word <> ''")
     weights = words.groupBy(*keys, F.xxhash64("word").alias("term")).count()
     weights = weights.withColumn("log_weight", F.log("count"))
-    drawn = weights.groupBy(*keys).agg(*[F.min(_draw(F.col("term"), F.col("log_weight"), k)).alias(f"s{k}") for k in range(samples)])
-    return drawn.select(*keys, F.array(*[F.col(f"s{k}").bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int") for k in range(samples)]).alias("signature"))
+    blocks = weights.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(_AT_ONCE))))
+    draws = [_draw(F.col("term"), F.col("log_weight"), F.col("block") + k) for k in range(_AT_ONCE)]
+    drawn = blocks.groupBy(*keys, "block").agg(*[F.min(d).alias(f"s{k}") for k, d in enumerate(draws)])
+    pairs = F.array(*[F.col(f"s{k}").bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int") for k in range(_AT_ONCE)])
+    whole = drawn.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block", pairs.alias("pairs")))).alias("all"))
+    return whole.select(*keys, F.slice(F.flatten(F.col("all.pairs")), 1, samples).alias("signature"))
 
 
 def likeness(one: Column, other: Column) -> Column:
