@@ -33,7 +33,7 @@ from nestloom.llm.common import materialize, partitions
 
 GRAM = 20  # bytes of a gram
 SLICE = 20_000  # distinct contexts of a gram that one task compares
-_BUCKET = 40_000  # contexts that a task should get
+_BUCKET = 10_000  # contexts that a task should get
 _BLOCK = 1 << 20  # string starts that are hashed together
 _LAST = 2**63 - 1  # stands for a null id: after all others
 
