@@ -48,8 +48,13 @@ HEADLINE = [
     "snapshot_diff",
     "upsert_latest",
     "latest_lines",
-    "staged_promote",
     "feed_upsert",
+    "lookup_collection",
+    "lookup_point",
+    "lookup_index",
+    "load_with_updates_and_deletes",
+    "index_after_upsert",
+    "customer_orders_whole",
 ]
 
 
