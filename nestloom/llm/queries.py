@@ -68,6 +68,35 @@ REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join, op
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": rf"""
+        WITH RECURSIVE w AS MATERIALIZED (
+          SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS MATERIALIZED (
+          SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+            ELSE list_sort(list_distinct([array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)])) END AS sh FROM w),
+        reps AS MATERIALIZED (SELECT min(doc_id) AS rep, sh, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
+        u AS MATERIALIZED (SELECT rep, n, unnest(sh) AS g FROM reps),
+        pairs AS MATERIALIZED (
+          SELECT a.rep AS a, b.rep AS b FROM u a JOIN u b ON a.g = b.g AND a.rep <> b.rep
+          GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach AS (SELECT rep AS a, rep AS b FROM reps UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+        roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
+        SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, CAST(coalesce(root, s.doc_id) AS BIGINT) AS component_id
+        FROM s LEFT JOIN reps ON reps.sh = s.sh LEFT JOIN roots ON roots.a = reps.rep""",
+    "op5_chat_formatting": r"""
+        WITH t AS (
+          SELECT conv_id, turn, role, coalesce(text, '') AS x FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        f AS (
+          SELECT *, sum(length('### ' || regexp_replace(role, '([\\#<:])', '\\\1', 'g') || ': '
+              || regexp_replace(x, '([\\#<])', '\\\1', 'g') || '</turn>') + 1) OVER w AS upto,
+            role = 'assistant' AS reply, lead(turn) OVER w IS NULL AS ends
+          FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, x))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || x || chr(10), '' ORDER BY turn, role, x)) AS turns_sha256,
+          CAST(coalesce(sum(length(x)) FILTER (reply), 0) AS BIGINT) AS loss_chars,
+          sha256(coalesce(string_agg(x, '' ORDER BY turn, role, x) FILTER (reply), '')) AS loss_sha256,
+          CAST(sum(upto) FILTER (reply OR ends) AS BIGINT) AS formatted_chars, count(*) FILTER (reply OR ends) AS examples
+        FROM f GROUP BY conv_id""",
     "op3_exact_dedup": f"""
         WITH n AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
