@@ -2,24 +2,30 @@
 
 Documents are counted into cells of source, language and topic, each with its tokens (words). Raking scales
 the cells in turn so that the sums over each of the three match their targets; the factors of each margin are
-small written tables, and each step is one pass over the cells. A document's probability is its cell's
-calibrated weight per token, relative to the largest of them, and a hash of the document decides.
+small written tables, and each step is one pass over the cells. The targets share out a wanted number of tokens.
+No cell gives more than it has: where it is asked for more it is kept whole, and the others make up for it, so
+a rare value takes nothing from the rest. A document's probability is the part of its cell's tokens that is
+wanted, and a hash of the document decides. What cannot be reached is returned with each row and warned of.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nestloom.llm.common import materialize
 from nestloom.llm.weighted_sampling import terms
 
 MARGINS = ("source", "lang", "topic")
-ROUNDS, CLOSE = 8, 1e-3
+ROUNDS, CLOSE = 30, 1e-3
+KEEP = 0.65  # share of all tokens that is wanted if no number is given
 
 # fixed values: what the texts of a topic look like
+_ADDRESS, _NUMBER = r"[\w.+-]+@[\w-]+\.\w+", r"\+?\d[\d ()./-]{8,}\d"
 _TOPICS = {
     "legal": r"(?i)\b(licen[sc]ed?|copyright|warrant(y|ies)|all rights reserved)\b",
-    "contact": r"[\w.+-]+@[\w-]+\.\w+|\+?\d[\d ()./-]{8,}\d",
+    "contact": f"{_ADDRESS}|{_NUMBER}",
     "markup": r"</?[a-z]+[^<>]*>|[{};]\s*\n| \| ",
 }
 
@@ -28,7 +34,10 @@ def topic(text: Column) -> Column:
     """Coarse topic of a whole text: the first of the patterns that occurs in it, else ``prose``."""
     found = F.lit("prose")
     for name, pattern in reversed(_TOPICS.items()):
-        found = F.when(text.rlike(pattern), F.lit(name)).otherwise(found)
+        matches = text.rlike(pattern)
+        if name == "contact":  # an address is looked for only where there is its sign, as that reads each word many times
+            matches = (text.contains("@") & text.rlike(_ADDRESS)) | text.rlike(_NUMBER)
+        found = F.when(matches, F.lit(name)).otherwise(found)
     return found
 
 
@@ -48,42 +57,96 @@ def tempered(counts: DataFrame, margin: str, power: float) -> DataFrame:
     return raised.select(f"_{margin}", (F.col("target") / whole).alias("target"))
 
 
-def rake(counts: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, close: float = CLOSE) -> DataFrame:
+def _keys() -> list[str]:
+    return [f"_{m}" for m in MARGINS]
+
+
+def attainable(asked: DataFrame) -> DataFrame:
+    """``asked`` (``goal``, ``most``) with goals of at most ``most``; the other goals grow alike to the same sum."""
+    grown = 1.0
+    while True:
+        full = F.col("goal") * grown >= F.col("most")
+        sums = asked.agg(F.sum(F.when(full, F.col("most")).otherwise(F.lit(0.0))), F.sum(F.when(full, F.lit(0.0)).otherwise(F.col("goal")))).first()
+        # each pass can only add full values, so this ends
+        more = (1.0 - sums[0]) / sums[1] if sums[1] else grown
+        if more <= grown * (1 + 1e-9):
+            return asked.withColumn("goal", F.least("most", F.col("goal") * grown))
+        grown = more
+
+
+def rake(
+    counts: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, close: float = CLOSE, wanted_tokens: float | None = None
+) -> DataFrame:
     """``counts(_source, _lang, _topic, tokens)`` with ``weight``: token shares that match the targets.
 
     ``targets`` maps a margin to a table of its values and their ``target`` shares; values without a target
-    keep their own share, and shares are scaled to sum up to 1. Ends when no factor of a round is off by more
-    than ``close``, or after ``rounds``; contradicting targets end as near as that.
+    keep their own share, and shares are scaled to sum up to 1. With ``wanted_tokens``, weights are shares of
+    that number and no cell gets more than its tokens: a value with too few is kept whole. ``gap_source``,
+    ``gap_lang`` and ``gap_topic`` tell what the row's value of that margin got in relation to its target,
+    less 1. Ends when no step of a round is off by more than ``close``, when rounds stop to bring the margins
+    nearer, or after ``rounds``; if a margin then misses by more than ten times ``close`` what each of its
+    values could get, a warning names it.
     """
     counts = materialize(counts, "cells")
     whole = counts.agg(F.sum("tokens")).first()[0]
     if not whole:
-        return counts.withColumn("weight", F.lit(0.0))
+        return counts.withColumns({"weight": F.lit(0.0)} | {f"gap{m}": F.lit(0.0) for m in _keys()})
+    wanted_tokens = None if wanted_tokens is None else min(float(wanted_tokens), float(whole))
+    if wanted_tokens is not None and wanted_tokens <= 0:
+        raise ValueError("wanted_tokens has to be positive")
+    most = F.lit(float("inf")) if wanted_tokens is None else F.col("tokens") / wanted_tokens
     wanted, factors = {}, {}
     for m in MARGINS:
-        own = counts.groupBy(f"_{m}").agg((F.sum("tokens") / whole).alias("share"))
-        joined = own.join(targets[m], f"_{m}", "left").select(f"_{m}", F.coalesce("target", "share").alias("goal"))
+        own = counts.groupBy(f"_{m}").agg(F.sum("tokens").alias("tokens"))
+        joined = own.join(targets[m], f"_{m}", "left").select(f"_{m}", F.coalesce("target", F.col("tokens") / whole).alias("goal"), most.alias("most"))
         total = joined.agg(F.sum("goal")).first()[0]
-        wanted[m] = materialize(joined.select(f"_{m}", (F.col("goal") / total).alias("goal")), "goals")
+        asked = materialize(joined.select(f"_{m}", (F.col("goal") / total).alias("asked"), (F.col("goal") / total).alias("goal"), "most"), "asked")
+        wanted[m] = asked if wanted_tokens is None else materialize(attainable(asked), "goals")
         factors[m] = wanted[m].select(f"_{m}", F.lit(1.0).alias(f"f_{m}"))
 
     def weighted() -> DataFrame:
         out = counts
         for m in MARGINS:
             out = out.join(factors[m], f"_{m}")
-        return out.withColumn("weight", F.col("tokens") / whole * F.col("f_source") * F.col("f_lang") * F.col("f_topic"))
+        out = out.withColumns({"free": F.col("tokens") / whole * F.col("f_source") * F.col("f_lang") * F.col("f_topic"), "most": most})
+        return out.withColumn("weight", F.least("free", "most"))
 
+    before, stuck = float("inf"), 0
     for _ in range(rounds):
-        worst = 0.0
+        steps = []
         for m in MARGINS:
-            now = weighted().groupBy(f"_{m}").agg(F.sum("weight").alias("w"), F.first(f"f_{m}").alias("f"))
-            step = F.when(F.col("w") > 0, F.col("goal") / F.col("w")).otherwise(F.lit(1.0))
-            moved = materialize(now.join(wanted[m], f"_{m}").select(f"_{m}", (F.col("f") * step).alias(f"f_{m}"), F.abs(step - 1).alias("off")), "factors")
-            worst = max(worst, moved.agg(F.max("off")).first()[0] or 0.0)
+            capped = F.col("free") >= F.col("most")
+            now = weighted().groupBy(f"_{m}").agg(
+                F.sum("weight").alias("w"), F.sum(F.when(capped, F.col("most")).otherwise(F.lit(0.0))).alias("full"), F.first(f"f_{m}").alias("f")
+            )
+            rest, missing = F.col("w") - F.col("full"), F.col("goal") - F.col("full")
+            # whole cells stay as they are and the others share the rest, unless the whole ones alone are too much
+            step = F.when(F.col("w") <= 0, F.lit(1.0)).when((rest > 1e-12 * F.col("w")) & (missing > 0), missing / rest)
+            step = step.when((rest <= 1e-12 * F.col("w")) & (missing >= 0), F.lit(1.0)).otherwise(F.col("goal") / F.col("w"))
+            off = F.when(F.col("w") > 0, F.abs(F.col("goal") - F.col("w")) / F.greatest("w", "goal")).otherwise(F.lit(0.0))
+            moved = now.join(wanted[m], f"_{m}").select(f"_{m}", (F.col("f") * step).alias(f"f_{m}"), off.alias("off"))
+            moved = materialize(moved, "factors")
             factors[m] = moved.drop("off")
-        if worst <= close:
+            steps.append(moved.select("off"))
+        worst = steps[0].union(steps[1]).union(steps[2]).agg(F.max("off")).first()[0] or 0.0
+        stuck = stuck + 1 if worst > 0.99 * before else 0
+        before = worst
+        if worst <= close or stuck == 3:
             break
-    return weighted().select(*[f"_{m}" for m in MARGINS], "tokens", "weight")
+
+    out, missed = materialize(weighted().select(*_keys(), "tokens", "weight"), "weights"), []
+    found = out
+    for m in MARGINS:
+        got = out.groupBy(f"_{m}").agg(F.sum("weight").alias("w")).join(wanted[m], f"_{m}")
+        gap = F.when(F.col("asked") > 0, F.col("w") / F.col("asked") - 1).otherwise(F.lit(0.0))
+        off = F.when(F.col("goal") > 0, F.abs(F.col("w") / F.col("goal") - 1)).otherwise(F.lit(0.0))
+        got = materialize(got.select(f"_{m}", gap.alias(f"gap_{m}"), off.alias("off")), "gaps")
+        missed.append(got.select(F.lit(m).alias("margin"), "off"))
+        found = found.join(got.drop("off"), f"_{m}")
+    worst = {r["margin"]: r["off"] for r in missed[0].union(missed[1]).union(missed[2]).groupBy("margin").agg(F.max("off").alias("off")).collect()}
+    if any(v > 10 * close for v in worst.values()):
+        warnings.warn("targets contradict or are not reached; largest miss: " + ", ".join(f"{m} {worst[m]:.1%}" for m in MARGINS), stacklevel=2)
+    return found.select(*_keys(), "tokens", "weight", *[f"gap_{m}" for m in MARGINS])
 
 
 def mix(
@@ -94,21 +157,29 @@ def mix(
     seed: int = 17,
     id_col: str = "doc_id",
     text_col: str = "text",
+    wanted_tokens: float | None = None,
 ) -> DataFrame:
-    """Every row with ``source``, ``lang`` and ``topic`` as counted, ``tokens``, ``probability``, ``kept`` and its columns.
+    """Every row with ``source``, ``lang`` and ``topic`` as counted, ``tokens``, ``probability``, ``kept``, the gaps and its columns.
 
-    Without ``targets`` the margins' own token shares to ``power`` are the targets. The probability of a cell
-    is the ratio of its target weight to its tokens, relative to the largest such ratio; a hash of id, text
+    Without ``targets`` the margins' own token shares to ``power`` are the targets, and without
+    ``wanted_tokens`` a share of ``KEEP`` of all tokens is wanted. The probability of a cell is the part of
+    its tokens that its raked weight takes, 1 at most; ``gap_source``, ``gap_lang`` and ``gap_topic`` are those
+    of ``rake`` for the row's values. A hash of id, text
     and ``seed`` decides, so equal rows are decided alike. Null source, language or text counts as empty;
     an empty text counts as one token. An empty table gives no rows. Added columns start with ``mix_``.
     """
     counted = cells(docs, topics, text_col)
-    keys = [f"_{m}" for m in MARGINS]
+    keys = _keys()
     counts = materialize(counted.groupBy(*keys).agg(F.sum("_tokens").alias("tokens")), "counts")
     goals = targets or {m: tempered(counts, m, power) for m in MARGINS}
-    raked = materialize(rake(counts, goals).withColumn("ratio", F.col("weight") / F.col("tokens")), "raked")
-    most = raked.agg(F.max("ratio")).first()[0] or 1.0
-    chances = raked.select(*keys, F.least(F.lit(1.0), F.col("ratio") / most).alias("mix_probability"))
+    whole = counts.agg(F.sum("tokens")).first()[0] or 0
+    wanted = KEEP * whole if wanted_tokens is None else min(wanted_tokens, whole) if whole else wanted_tokens
+    raked = materialize(rake(counts, goals, wanted_tokens=wanted), "raked")
+    chances = raked.select(
+        *keys,
+        F.least(F.lit(1.0), F.col("weight") * F.lit(float(wanted)) / F.col("tokens")).alias("mix_probability"),
+        *[F.col(f"gap_{m}").alias(f"mix_gap_{m}") for m in MARGINS],
+    )
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), F.lit(1 << 40)) / float(1 << 40)
     return (
         counted.join(chances, keys)

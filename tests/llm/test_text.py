@@ -173,6 +173,37 @@ def test_mixing_keeps_rows_and_decides_by_probability(docs, small):
     assert abs(mixed[0] - mixed[1]) < 4 * np.sqrt(mixed[1])
 
 
+def test_mixing_keeps_rare_values_whole_and_the_rest_as_before(spark, docs):
+    hot = [(i, f"common words {i} " * 20) for i in range(600)]
+    source = F.when(F.col("doc_id") < 300, "hot").otherwise(F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")))
+    df = docs(*hot).withColumn("source", source).withColumn("lang", F.when(F.col("doc_id") % 4 == 0, "de").otherwise("en"))
+    rare = docs((9999, "two words")).withColumn("source", F.lit("rare")).withColumn("lang", F.lit("own"))
+    before, after = ([r for r in mixing.mix(d).collect()] for d in (df, df.union(rare)))
+    share = [sum(r.mix_probability * r.mix_tokens for r in rows) / sum(r.mix_tokens for r in rows) for rows in (before, after)]
+    assert all(abs(s - mixing.KEEP) < 0.01 for s in share)
+    assert [r.mix_probability for r in after if r.doc_id == 9999] == [pytest.approx(1.0, abs=0.01)]
+    was = {r.doc_id: r.mix_probability for r in before}
+    assert all(abs(r.mix_probability - was[r.doc_id]) < 0.01 for r in after if r.doc_id in was)
+    assert all(abs(r[f"mix_gap_{m}"]) < 0.02 for r in after if r.doc_id != 9999 for m in mixing.MARGINS)
+    assert all(r.mix_gap_source < -0.3 for r in after if r.doc_id == 9999), "what a value lacks of its target is returned"
+
+
+def test_mixing_to_a_wanted_total_and_contradicting_targets(spark):
+    cells = [("a", "x", "p", 1000), ("a", "y", "q", 3000), ("b", "x", "q", 900), ("b", "y", "p", 5500), ("c", "z", "p", 40)]
+    df = spark.createDataFrame(cells, "_source string, _lang string, _topic string, tokens bigint")
+    goals = {m: spark.createDataFrame(v, f"_{m} string, target double") for m, v in
+             {"source": [("a", 0.4), ("b", 0.5), ("c", 0.1)], "lang": [("x", 0.3), ("y", 0.6), ("z", 0.1)], "topic": [("p", 0.6), ("q", 0.4)]}.items()}
+    got = mixing.rake(df, goals, wanted_tokens=4000).collect()
+    tokens = {r._source + r._lang: r.weight * 4000 for r in got}
+    assert abs(sum(tokens.values()) - 4000) < 8 and abs(tokens["cz"] - 40) < 1, "all there is of c"
+    assert all(r.weight * 4000 <= r.tokens * (1 + 1e-9) for r in got)
+    assert abs(tokens["ax"] + tokens["ay"] - 3960 * 4 / 9) < 8 and abs(tokens["ax"] + tokens["bx"] - 3960 / 3) < 8
+    goals["lang"] = spark.createDataFrame([("x", 0.5), ("y", 0.495), ("z", 0.005)], "_lang string, target double")
+    with pytest.warns(UserWarning, match="contradict"):
+        odd = mixing.rake(df, goals, wanted_tokens=4000).collect()
+    assert max(abs(r.gap_source) + abs(r.gap_lang) for r in odd) > 0.05
+
+
 def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
