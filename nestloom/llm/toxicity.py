@@ -2,7 +2,8 @@
 
 The kernel of two words sums over their common subsequences of three characters, gaps included, each gap
 costing a factor; so an insult with characters put in, left out or with another ending stays close to the
-landmark it resembles. Landmarks are words that toxic training texts have more often than others. A text's
+landmark it resembles. A word with signs inside is also read without them, and single characters in a row,
+whatever signs or spaces stand between them, are also read as one word. Landmarks are words that toxic training texts have more often than others. A text's
 features for a landmark are the largest kernel value of any of its words, above a floor, and the sum over
 its distinct words, damped. The Nyström map (the
 inverse root of the landmarks' own kernel matrix) turns these into vectors, on which a linear support vector
@@ -28,6 +29,8 @@ WIDTH = 24  # longer words are looked at in windows of this width, half overlapp
 _COMMON = 0.5  # share of a landmark's pairs of characters that a word needs to be compared with it
 _CACHE = 400_000
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_SIGNS = re.compile(r"[\W_]+")
+_SPELLED = re.compile(rf"(?<![^\W_])[^\W_](?:[\W_]+[^\W_]){{{ORDER - 1},}}(?![^\W_])")  # single characters in a row
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -68,6 +71,27 @@ def windows(word: str) -> list[str]:
     return [word[i : i + WIDTH] for i in range(0, len(word) - WIDTH // 2, WIDTH // 2)]
 
 
+def readings(word: str, lengths: list[int]) -> list[str]:
+    """Windows of the word as given and, if it has signs inside, of the word without them.
+
+    A word spelled in single characters has no known ends, so every stretch of one of ``lengths`` counts too.
+    """
+    found = windows(word)
+    if not word.isalnum() and (bare := _SIGNS.sub("", word)) != _EDGES.sub("", word):
+        found = found + windows(bare)
+        if _SPELLED.fullmatch(_EDGES.sub("", word)):
+            found += [bare[i : i + n] for n in lengths for i in range(len(bare) - n + 1)]
+    return found
+
+
+def word_set(text: str | None) -> set[str]:
+    """Distinct words of a text in lower case, and the stretches of it that are spelled in single characters."""
+    text = (text or "").lower()
+    words, spelled = set(text.split()), set(_SPELLED.findall(text))
+    # a word that is spelled as a whole counts once
+    return words | (spelled - {_EDGES.sub("", w) for w in words}) if spelled else words
+
+
 class WordFeatures:
     """Normalised kernel values of words with each landmark, above the floor and scaled to 0 to 1.
 
@@ -77,6 +101,7 @@ class WordFeatures:
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
+        self.lengths = sorted({len(w) for w in landmarks})
         self.codes = _codes(landmarks) if landmarks else np.zeros((0, 1), np.int32)
         self.own = np.sqrt(subsequence_kernel(self.codes, self.codes))
         pairs = [sorted(set(row[row >= 0].tolist())) for row in _pairs(self.codes, 0)]
@@ -99,7 +124,7 @@ class WordFeatures:
         """Features of those words that have any, by their place."""
         users: dict[str, list[int]] = {}
         for i, w in enumerate(words):
-            for piece in windows(w):
+            for piece in readings(w, self.lengths):
                 if len(piece) >= ORDER:
                     users.setdefault(piece, []).append(i)
         found: dict[int, np.ndarray] = {}
@@ -130,7 +155,7 @@ class TextFeatures:
         self._known: dict[str, np.ndarray | None] = {}
 
     def of(self, texts: list[str | None]) -> np.ndarray:
-        bags = [set((t or "").lower().split()) for t in texts]
+        bags = [word_set(t) for t in texts]
         known = self._known
         if len(known) > _CACHE:
             known.clear()

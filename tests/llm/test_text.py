@@ -64,6 +64,22 @@ def test_toxicity_learns_words_and_tolerates_inserted_characters(spark, docs):
     assert {r.doc_id for r in toxicity.reject(clash, model).collect()} == {i for i, p in got.items() if not p}
 
 
+def test_separated_characters_keep_the_likeness_of_every_landmark(spark, docs):
+    landmarks = ["idiot", "moron", "stupid", "scumbag", "loser"]
+    features = toxicity.TextFeatures(landmarks)
+    plain = features.of(landmarks)
+    for sign in "*.- _\n":
+        assert np.allclose(features.of([f"so, {sign.join(w)}!" for w in landmarks]), plain), repr(sign)
+    assert np.allclose(features.of(["m-o-r-on", "id.i.ot", "sc.um.ba.g", "l, o, s, e, r"])[:, :5], plain[[1, 0, 3, 4], :5])
+    assert np.allclose(features.of(["y o u s t u p i d m a n"])[0, 2], 1.0), "no ends are known"
+    assert not features.of(["i a b c", "x - y - z", "1 2 3 4 5 6 7 8 9 10", "well-known and/or e.g. a", None, ""]).any()
+    rows = [(i, "what a lovely calm day " + ("you stupid" if i % 3 == 0 else "you neighbour")) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs(*rows), labels, F.col("doc_id") % 5 != 0)
+    odd = docs((1, "a s*t*u*p*i*d one"), (2, "a s t u p i d one"), (3, "a n e i g h b o u r"), (4, "good neighbours"))
+    assert [r.predicted for r in toxicity.score(odd, model).orderBy("doc_id").collect()] == [1, 1, 0, 0]
+
+
 def test_classifiers_without_labels_are_constant(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int, quality int")
     df = docs((1, "a"), (None, None), (3, ""))
