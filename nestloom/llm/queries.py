@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestloom.llm import chat, content_sort as sorting, language, mixing, ngram_join, packing, quality_trees, suffix_dedup, toxicity, weighted_sampling
+from nestloom.llm import (
+    chat,
+    content_sort as sorting,
+    language,
+    lexical,
+    mixing,
+    ngram_join,
+    oracles,
+    packing,
+    page_text,
+    quality_trees,
+    suffix_dedup,
+    toxicity,
+    turn_repair,
+    weighted_sampling,
+)
 from nestloom.llm.common import documents, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +78,36 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir)))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_language_id, op3_exact_dedup, op4_toxicity, op5_chat_formatting, op6_quality, op7_fingerprints, op8_mixing, op9_suffix_dedup, op10_best_fit_packing)}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.digests(turn_repair.repair(turn_repair.damage(turns)), turns)
+
+
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return page_text.extract(pages, page_text.fit(pages))
+
+
+_QUERIES = (
+    op1_ngram_jaccard_join,
+    op2_language_id,
+    op3_exact_dedup,
+    op4_toxicity,
+    op5_chat_formatting,
+    op6_quality,
+    op7_fingerprints,
+    op8_mixing,
+    op9_suffix_dedup,
+    op10_best_fit_packing,
+    op11_ranked_search,
+    op12_turn_repair,
+    op13_page_text,
+)
+REGISTRY: dict[str, Query] = {f.__name__: f for f in _QUERIES}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -102,4 +146,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM n WINDOW g AS (PARTITION BY norm)""",
+    "op11_ranked_search": oracles.RANKED_SEARCH,
+    "op12_turn_repair": oracles.TURN_REPAIR,
+    "op13_page_text": oracles.PAGE_TEXT,
 }
