@@ -99,6 +99,6 @@ PAGE_TEXT = r"""
     WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?is)<article[^>]*>(.*)</article>', 1) AS x FROM pages),
     b AS (SELECT page_id, url, unnest(regexp_split_to_array(x, '(?i)</?(?:p|h1|div|li|ul)(?:\s[^>]*)?>')) AS line, generate_subscripts(regexp_split_to_array(x, '(?i)</?(?:p|h1|div|li|ul)(?:\s[^>]*)?>'), 1) AS i FROM a),
     c AS (SELECT page_id, url, i, regexp_replace(regexp_replace(line, '(?i)<br[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g') AS line FROM b),
-    d AS (SELECT page_id, url, i, trim(regexp_replace(replace(replace(replace(replace(replace(line, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS line FROM c),
+    d AS (SELECT page_id, url, i, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(line, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS line FROM c),
     e AS (SELECT page_id, url, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (line <> ''), '') AS text FROM d GROUP BY page_id, url)
     SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM e"""

@@ -188,9 +188,16 @@ def blocks(found: list[Token]) -> str:
     return "\n".join(line for line in kept if line)
 
 
+LEAST, MOST = 0.05, 12.0  # bounds of a weight
+
+
 @dataclass
 class PageModel:
-    """Weight per kind of token: words at least ``LEAST``, tags at most ``-LEAST``; ``scale`` multiplies tags."""
+    """Weight per kind of token: words at least ``LEAST``, tags at most ``-LEAST``; ``scale`` multiplies tags.
+
+    A tag that labelled pages do not have counts ``-LEAST``: nothing is known against it. So does what was left
+    out, as its words cannot come back.
+    """
 
     weights: dict[str, float]
     scale: float = 1.0
@@ -198,7 +205,7 @@ class PageModel:
     def weight(self, t: Token) -> float:
         if t.kind.startswith("word"):
             return t.count * self.weights.get(t.kind, 1.0)
-        return self.scale * t.count * self.weights.get(t.kind, -1.0)
+        return self.scale * t.count * self.weights.get(t.kind, -LEAST if self.weights else -1.0)
 
     def region(self, found: list[Token]) -> tuple[int, int]:
         """Start and end of the stretch with the highest sum, the first and shortest of several; empty if none is above 0."""
@@ -218,7 +225,6 @@ class PageModel:
         return blocks(found[begin:end])
 
 
-LEAST, MOST = 0.05, 12.0
 SCALES = (1.0, 2.0, 4.0, 8.0, 16.0)
 
 
@@ -259,6 +265,8 @@ def fit(pages: DataFrame, sample: int = 2000, html_col: str = "html", id_col: st
     weights = {}
     for r in counts.collect():
         odds = math.log((r["i"] + 0.5) / (r["o"] + 0.5))
+        if r["kind"] == "tag cut":
+            continue
         weights[r["kind"]] = max(odds, LEAST) if r["kind"].startswith("word") else min(max(odds, -MOST), -LEAST)
 
     models = [PageModel(weights, s) for s in SCALES]
@@ -288,15 +296,16 @@ def extract(pages: DataFrame, model: PageModel, html_col: str = "html") -> DataF
     the result replaces. Empty table: no rows.
     """
     kept = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
-    rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html_col}`").alias("_html"))
+    # plain names inside: those of the caller may hold any sign
+    rows = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate([*kept, html_col])])
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [model.text(page) for page in _each(part.column(len(kept)))]
+                texts = [model.text(page) for page in _each(part.columns[-1])]
                 columns = [*part.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, "text", "n_chars"])
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return rows.mapInArrow(read, schema)
+    return rows.mapInArrow(read, schema).toDF(*kept, "text", "n_chars")

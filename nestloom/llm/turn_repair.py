@@ -110,6 +110,8 @@ def unroll(symbols: list[int], counts: list[int], end: np.ndarray, state: int) -
     ``end``: costs-to-go after the last turn. Of the cheapest choices the one with the least letter is taken
     each time, so the whole string is the least.
     """
+    if not symbols:
+        return [], state
     after = [end]
     for sym, count in zip(symbols[:0:-1], counts[:0:-1], strict=True):
         after.append(advance(sym, count, after[-1]))
@@ -247,7 +249,7 @@ def repair(rows: DataFrame) -> DataFrame:
     duplicate (role and text were there before), truncated. ``edits``: letters of the insertions (I) before
     the row, of its own edit (K keep, R other role, D delete) and, with a conversation's last row, of the
     insertions behind; ``roles``: the new role of each of them, '' where there is none. Null roles and texts
-    read as one space, so the latter are blank. Rows without conv_id are one conversation. Empty table: no rows.
+    read as one space, so the latter are blank. A row with an empty role has no initial and is never kept as it is. Rows without conv_id are one conversation. Empty table: no rows.
     """
     spark = rows.sparkSession
     given = rows.select("conv_id", "turn", *[F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")])
