@@ -35,7 +35,7 @@ def difference(spark_df, con, sql: str) -> str | None:
         return f"columns {sorted(spark_df.columns)} != {sorted(names)}"
     want = rows_of(names, cursor.fetchall())
     have = rows_of(spark_df.columns, [tuple(r) for r in spark_df.collect()])
-    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     types = {d[0]: str(d[1]) for d in con.execute(sql).description}
     odd = {n: (k, types[n]) for n, k in spark_df.dtypes if kinds.get(k) != types[n].upper()}
     if odd:
