@@ -52,11 +52,6 @@ def to_typed_json(df: DataFrame, name: str = "item", *keep: str) -> DataFrame:
     return df.select(*keep, F.to_json(F.struct(*fields)).alias(name))
 
 
-def plain_json(df: DataFrame, name: str = "item", *keep: str) -> DataFrame:
-    """Encode each row as untagged JSON."""
-    return df.select(*keep, F.to_json(F.struct(*df.columns)).alias(name))
-
-
 def item_bytes(df: DataFrame) -> Column:
     """Encoded size of a row, for comparison with a size limit."""
     return F.octet_length(F.to_json(F.struct(*df.columns)))

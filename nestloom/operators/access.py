@@ -1,7 +1,7 @@
 """Key, prefix, index and latest-n lookups over a target keyed by ``PK`` and ``SK``.
 
-A stored target is laid out in hash buckets of ``PK`` (see ``sources.store``); when the bucket column
-is present, a lookup names the bucket too, so only its folder is read.
+A stored target is laid out in folders by a hash of its key (see ``sources.keyed``); when that column
+is present, a lookup names it too, so only its folder is read.
 """
 
 from __future__ import annotations
@@ -10,16 +10,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from nestloom.operators.nest import first_n
 
-BUCKET = "_bucket"
+PART = "_part"
 
 
-def bucket_of(column: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+def part_of(column: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
 
 
-def _in_bucket(target: DataFrame, pk: str, buckets: int | None) -> DataFrame:
-    if buckets and BUCKET in target.columns:
-        return target.where(F.col(BUCKET) == bucket_of(F.lit(pk), buckets))
+def _in_part(target: DataFrame, pk: str, parts: int | None) -> DataFrame:
+    if parts and PART in target.columns:
+        return target.where(F.col(PART) == part_of(F.lit(pk), parts))
     return target
 
 
@@ -30,12 +30,12 @@ def query(
     sk_prefix: str | None = None,
     descending: bool = False,
     limit: int | None = None,
-    buckets: int | None = None,
+    parts: int | None = None,
     pk_column: str = "PK",
     sk_column: str | None = "SK",
 ) -> DataFrame:
     """Items of one collection in sort-key order; both key conditions reach the Parquet scan."""
-    found = _in_bucket(target, pk, buckets).where(F.col(pk_column) == pk)
+    found = _in_part(target, pk, parts).where(F.col(pk_column) == pk)
     if sk is not None:
         found = found.where(F.col(sk_column) == sk)
     if sk_prefix is not None:
@@ -45,13 +45,9 @@ def query(
     return found if limit is None else found.limit(limit)
 
 
-def get_item(target: DataFrame, pk: str, sk: str, buckets: int | None = None) -> DataFrame:
+def get_item(target: DataFrame, pk: str, sk: str, parts: int | None = None) -> DataFrame:
     """The one item with this key, or no row."""
-    return _in_bucket(target, pk, buckets).where((F.col("PK") == pk) & (F.col("SK") == sk)).limit(1)
-
-
-def scan(target: DataFrame, condition: Column | str | None = None) -> DataFrame:
-    return target if condition is None else target.where(condition)
+    return _in_part(target, pk, parts).where((F.col("PK") == pk) & (F.col("SK") == sk)).limit(1)
 
 
 def by_entity(target: DataFrame, entity: str) -> DataFrame:
@@ -70,23 +66,11 @@ def build_index(target: DataFrame, pk_column: str, sk_column: str | None = None)
     return rows.repartitionByRange(*keys, *tie).sortWithinPartitions(*keys)
 
 
-def save_index(target: DataFrame, path: str, pk_column: str, sk_column: str | None = None) -> None:
-    """Store an index; a lookup on the key skips files and row groups by their value ranges."""
-    build_index(target, pk_column, sk_column).write.parquet(path)
-
-
-def lookup(target: DataFrame, keys: DataFrame, on: str | list[str] = "PK", buckets: int | None = None) -> DataFrame:
-    """All items for a table of requested keys in one join.
-
-    The keys carry their bucket into the join when the target has one, so unneeded buckets are
-    pruned at run time. Spark broadcasts the keys only below its own size threshold.
-    """
+def lookup(target: DataFrame, keys: DataFrame, on: str | list[str] = "PK") -> DataFrame:
+    """All items for a table of requested keys in one join; Spark broadcasts the keys only below its own
+    size threshold. ``sources.keyed`` has a lookup that never shuffles stored items."""
     columns = [on] if isinstance(on, str) else list(on)
-    wanted = keys.select(*columns).distinct()
-    if buckets and BUCKET in target.columns and "PK" in columns:
-        wanted = wanted.withColumn(BUCKET, bucket_of(F.col("PK"), buckets))
-        columns = [*columns, BUCKET]
-    return target.join(wanted, columns, "left_semi")
+    return target.join(keys.select(*columns).distinct(), columns, "left_semi")
 
 
 def latest(target: DataFrame, n: int, sk_prefix: str | None = None) -> DataFrame:
@@ -95,13 +79,19 @@ def latest(target: DataFrame, n: int, sk_prefix: str | None = None) -> DataFrame
     return first_n(rows, "PK", [F.desc("SK")], n)
 
 
-def pattern_counts(target: DataFrame, patterns: dict[str, tuple[str, str | None]]) -> DataFrame:
-    """Items returned by each named ``(pk, sk prefix)`` access pattern, counted in one scan."""
-    checks = []
-    for name, (pk, prefix) in patterns.items():
-        hit = F.col("PK") == pk
-        if prefix is not None:
-            hit = hit & F.col("SK").startswith(prefix)
-        checks.append(F.count_if(hit).alias(name))
-    wanted = target.where(F.col("PK").isin([pk for pk, _ in patterns.values()]))
-    return wanted.agg(*checks).unpivot([], list(patterns), "pattern", "items")
+def pattern_counts(target: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Items that each access pattern returns, for a table ``patterns(pattern, pk, prefix)`` of any length.
+
+    Patterns meet items by partition key and then by the prefix of the sort key (NULL: the whole collection). Items are
+    counted per key and wanted prefix before patterns see them, so patterns that ask for the same share the
+    work, and a pattern that finds nothing counts 0.
+    """
+    asked = patterns.select("pk", F.coalesce("prefix", F.lit("")).alias("prefix")).where("pk IS NOT NULL").distinct()
+    lengths = asked.groupBy("pk").agg(F.collect_set(F.length("prefix")).alias("_lengths"))
+    items = target.select(F.col("PK").alias("pk"), F.coalesce("SK", F.lit("")).alias("_sk"))
+    # each item gives one row per length of prefix that is asked for under its key
+    cut = items.join(lengths, "pk").select("pk", "_sk", F.explode("_lengths").alias("_n")).where("length(_sk) >= _n")
+    found = cut.groupBy("pk", F.expr("left(_sk, _n)").alias("prefix")).agg(F.count(F.lit(1)).alias("items"))
+    counted = asked.join(found, ["pk", "prefix"])
+    out = patterns.withColumn("prefix", F.coalesce("prefix", F.lit(""))).join(counted, ["pk", "prefix"], "left")
+    return out.select("pattern", F.coalesce("items", F.lit(0).cast("bigint")).alias("items"))

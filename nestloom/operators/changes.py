@@ -86,7 +86,3 @@ def upsert(
     if version and version in target.columns:
         last = drop_stale(last, target, keys, version)
     return replace_rows(target, last, keys, op)
-
-
-def apply_deletes(target: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return target.join(deleted.select(*keys), list(keys), "left_anti").select(*target.columns)

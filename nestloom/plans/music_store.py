@@ -118,8 +118,8 @@ def music_store_targets(
                     t["Playlist"],
                     "PlaylistId",
                     lambda rows: playlists_target(rows, t["PlaylistTrack"], track, album, t["Artist"], member_cap),
-                    # the bridge has no id that grows
-                    (Dependency("PlaylistTrack", t["PlaylistTrack"], None, lambda rows: rows), *named(t["PlaylistTrack"])),
+                    # the bridge has no id of its own: a playlist with another set of tracks is derived anew
+                    (Dependency("PlaylistTrack", t["PlaylistTrack"], None, lambda rows: rows, "PlaylistId"), *named(t["PlaylistTrack"])),
                 ),
             ),
         ),

@@ -60,6 +60,11 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Parquet under ``path``, or no rows if nothing was written there yet."""
     files, folder = _folder(spark, path)
@@ -77,6 +82,16 @@ def subfolders(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of all files under a folder: what a result derived from them depends on."""
+    files, folder = _folder(spark, path)
+    found, listed = [], files.listFiles(folder, True)
+    while listed.hasNext():
+        f = listed.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     files, folder = _folder(spark, path)
     files.delete(folder, True)

@@ -1,7 +1,7 @@
 """Change feed: files arriving in a folder, applied to a stored target batch by batch.
 
-Late and repeated changes are settled by the version column. A batch replayed after a failure is
-skipped if its number was already published, and gives the same table if it was not.
+Late and repeated changes are settled by the version column, which deleted items keep too. A batch replayed
+after a failure gives the same table, so no batch numbers are kept.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from nestloom.sources.store import BucketStore
+from nestloom.sources.keyed import KeyedTable
 
 
 def file_feed(
@@ -25,7 +25,7 @@ def file_feed(
 
 
 def apply_feed(
-    store: BucketStore,
+    store: KeyedTable,
     feed: DataFrame,
     checkpoint: str,
     version: str,
@@ -33,16 +33,10 @@ def apply_feed(
     to_changes: Callable[[DataFrame], DataFrame] | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the feed; with ``available_now`` it stops after taking what is there.
-
-    One feed per store, since batch numbers are recorded with the store's versions.
-    """
+    """Start the feed; with ``available_now`` it stops after taking what is there. One feed per table at a time."""
 
     def take(batch: DataFrame, number: int) -> None:
-        changes = batch if to_changes is None else to_changes(batch)
-        # the query id lives in the checkpoint: batch numbers of a new checkpoint start over
-        feed_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        store.upsert(changes, version, op, batch=number, feed=feed_id)
+        store.upsert(batch if to_changes is None else to_changes(batch), version, op)
 
     writer = feed.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     if available_now:

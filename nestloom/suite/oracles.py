@@ -545,8 +545,8 @@ WHERE failed_rule IS NOT NULL""",
 SELECT c_custkey, lower(c_name) AS name, '+1' || c_custkey || '5500' AS phone, lower(c_mktsegment) AS segment,
   CAST(split_part(c_name, '#', 2) AS BIGINT) AS number, CAST(NULL AS BIGINT) AS bad_number FROM customer""",
         "masked_copy": """
-SELECT c_custkey, regexp_replace(c_name, '[0-9]', 'n', 'g') AS c_name, sha256(CAST(c_nationkey AS VARCHAR)) AS c_nationkey,
-  CAST(NULL AS VARCHAR) AS c_acctbal, md5(c_mktsegment) AS c_mktsegment FROM customer""",
+SELECT c_custkey, regexp_replace(c_name, '[0-9]', 'n', 'g') AS c_name, sha256('pepper:' || CAST(c_nationkey AS VARCHAR)) AS c_nationkey,
+  CAST(NULL AS DOUBLE) AS c_acctbal, md5('pepper:' || c_mktsegment) AS c_mktsegment FROM customer""",
         "oversize_items": f"""
 WITH {LINES}, {ORDER_ITEMS}, sized AS (
   SELECT "PK", "SK", "LineItemCount", CAST(strlen('{{"PK":"' || "PK" || '","SK":"' || "SK" || '","LineItemCount":' || "LineItemCount"
@@ -592,6 +592,22 @@ SELECT target, entity, n AS source_count, n AS target_count, true AS count_match
         "feed_upsert": """
 SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""",
+        "feed_late_after_delete": """
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND (event_id % 2 = 0 OR NOT coalesce(value > 50, false))""",
+        "load_late_rows": f"{CATALOG} SELECT * FROM catalog",
+        "load_rejects": f"""{CATALOG}, marked AS (
+  SELECT *, CASE WHEN "EntityType" = 'Track' AND coalesce("UnitPrice", 0) < 50000 THEN 'price'
+    WHEN coalesce(length(coalesce("Name", "Title")) > 11, true) THEN 'name' END AS failed_rule FROM catalog)
+SELECT "PK", "SK", "EntityType", failed_rule, (SELECT count(*) FROM catalog) AS rows FROM marked WHERE failed_rule IS NOT NULL""",
+        "access_counts_table": """
+SELECT CAST(c_custkey AS VARCHAR) AS pattern, count(o_orderkey) AS items
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND year(o_orderdate) = 1997 GROUP BY c_custkey""",
+        "reconcile_tree": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 1009 = 7 THEN 'missing' ELSE 'altered' END AS issue
+FROM orders WHERE o_orderkey % 1009 = 7 OR o_orderkey % 997 = 5 AND o_totalprice + 1 <> o_totalprice
+UNION ALL SELECT -1 - o_orderkey, 'unexpected' FROM orders WHERE o_orderkey % 1013 = 9""",
     }
     found |= {f"profile_{t}": _profile(t) for t in PROFILED}
     return found

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from nestloom.functions.clean import mask_columns, transform_columns
 from nestloom.functions.codec import to_typed_json
 from nestloom.functions.items import key, money
-from nestloom.operators import access, changes, nest, profile as profiles, quality, validate
+from nestloom.operators import access, changes, digest_tree, nest, profile as profiles, quality, validate
 from nestloom.plans import catalog, customers, playlists, staff
 from nestloom.plans.load import Load, Target
 from nestloom.plans.music_store import CATALOG_INDEXES, CUSTOMER_INDEXES, music_store_targets
 from nestloom.sources import tables as source_tables
-from nestloom.sources.scratch import new_path
-from nestloom.sources.store import BucketStore
+from nestloom.sources.keyed import KeyedTable
+from nestloom.sources.scratch import fingerprint, new_path
 from nestloom.streaming.feed import apply_feed, file_feed
 from nestloom.suite.roles import Roles
 
@@ -190,25 +191,25 @@ def typed_items(r: Roles) -> DataFrame:
 # -- access --------------------------------------------------------------------------------------
 
 
-_STORED: dict[tuple[str, str, str], BucketStore] = {}
+_STORED: dict[tuple, KeyedTable] = {}
 
 
-def _stored(r: Roles, name: str, build: Callable[[Roles], DataFrame], indexes: dict | None = None) -> BucketStore:
-    """The target as stored once per session and data folder; lookups read it and don't build it again."""
-    place = (r.spark.sparkContext.applicationId, r.folder, name)
+def _stored(r: Roles, name: str, build: Callable[[Roles], DataFrame], indexes: dict | None = None) -> KeyedTable:
+    """The target as stored for the files that the folder holds now; other files, sizes or times mean a new build."""
+    place = (r.spark.sparkContext.applicationId, name, fingerprint(r.spark, r.folder))
     if place not in _STORED:
         items = build(r)
-        store = BucketStore(r.spark, new_path(r.spark, name), items.schema, buckets=16, indexes=indexes)
+        store = KeyedTable(r.spark, new_path(r.spark, name), items.schema, parts=8, buckets=8, indexes=indexes)
         store.overwrite(items)
         _STORED[place] = store
     return _STORED[place]
 
 
-def _customer_store(r: Roles) -> BucketStore:
+def _customer_store(r: Roles) -> KeyedTable:
     return _stored(r, "CustomerOrders", customer_orders_target, CUSTOMER_INDEXES)
 
 
-def _catalog_store(r: Roles) -> BucketStore:
+def _catalog_store(r: Roles) -> KeyedTable:
     return _stored(r, "MusicCatalog", catalog_target, CATALOG_INDEXES)
 
 
@@ -297,8 +298,7 @@ def lookup_page(r: Roles) -> DataFrame:
 def lookup_batch(r: Roles) -> DataFrame:
     """All items of every customer of one segment."""
     keys = r.table("customer").where(F.col("c_mktsegment") == "BUILDING").select(key("CUSTOMER", "c_custkey").alias("PK"))
-    store = _customer_store(r)
-    found = access.lookup(store.read(), keys, buckets=store.buckets)
+    found = _customer_store(r).lookup(keys)
     return found.select("PK", "SK", "EntityType", "InvoiceId", "TotalOrders")
 
 
@@ -328,7 +328,17 @@ def access_counts(r: Roles) -> DataFrame:
         "profile": ("CUSTOMER#9", "PROFILE"),
         "unknown": ("CUSTOMER#-1", None),
     }
-    return access.pattern_counts(_customer_orders(r), patterns)
+    table = r.spark.createDataFrame([(n, *p) for n, p in patterns.items()], "pattern string, pk string, prefix string")
+    return access.pattern_counts(_customer_orders(r), table)
+
+
+@registered
+def access_counts_table(r: Roles) -> DataFrame:
+    """A pattern for every customer, the orders of one year, all counted in one join."""
+    year = r.table("customer").select(
+        F.col("c_custkey").cast("string").alias("pattern"), key("CUSTOMER", "c_custkey").alias("pk"), F.lit("ORDER#1997-").alias("prefix")
+    )
+    return access.pattern_counts(_customer_orders(r), year)
 
 
 # -- profile -------------------------------------------------------------------------------------
@@ -446,6 +456,16 @@ def sample_mismatch(r: Roles) -> DataFrame:
     return validate.sample_check(expected, _altered_orders(r), ["PK", "SK"], fraction=0.5)
 
 
+@registered
+def reconcile_tree(r: Roles) -> DataFrame:
+    """Keys in which two snapshots differ, found by their digest trees; a few orders are changed, lost and new."""
+    orders = r.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    price = F.when(F.col("o_orderkey") % 997 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    now = orders.where("o_orderkey % 1009 <> 7").withColumn("o_totalprice", price)
+    more = orders.where("o_orderkey % 1013 = 9").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    return digest_tree.tree_mismatch(orders, now.unionByName(more), ["o_orderkey"], digest_tree.range_leaf("o_orderkey"))
+
+
 @registered
 def completeness(r: Roles) -> DataFrame:
     mapping = {"Company": "Company", "Address": "Address", "City": "City", "Fax": "Fax", "PostalCode": "PostalCode"}
@@ -530,7 +550,7 @@ def column_rules(r: Roles) -> DataFrame:
 @registered
 def masked_copy(r: Roles) -> DataFrame:
     rules = [("c_name", "digits"), ("c_acctbal", "remove"), ("c_mktsegment", "md5"), ("c_nationkey", "sha256")]
-    return mask_columns(r.table("customer"), rules)
+    return mask_columns(r.table("customer"), rules, salt="pepper:")
 
 
 @registered
@@ -654,8 +674,8 @@ def refresh_equivalence(r: Roles) -> DataFrame:
     those, no lines existed. Equal to a single load, as the second derives what new rows reach."""
     root = new_path(r.spark, "load")
     top = changes.high_water(r.table("orders"), "o_orderkey")
-    Load(r.spark, root, _targets(r, None, top * 2 // 3, top // 2), buckets=8).run()
-    rest = Load(r.spark, root, _targets(r), buckets=8)
+    Load(r.spark, root, _targets(r, None, top * 2 // 3, top // 2), buckets=8, parts=4).run()
+    rest = Load(r.spark, root, _targets(r), buckets=8, parts=4)
     rest.refresh()
     stored = [s.items().withColumn("target", F.lit(n)) for n, s in rest.stores.items()]
     return nest.union_items(*stored)
@@ -672,8 +692,8 @@ def load_with_updates_and_deletes(r: Roles) -> DataFrame:
     )
     gone = orders.where("o_orderkey % 10 = 7").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
     early.tables["orders"] = orders.unionByName(gone)
-    Load(r.spark, root, _targets(early, ("MusicCatalog",)), buckets=8).run()
-    load = Load(r.spark, root, real, buckets=8)
+    Load(r.spark, root, _targets(early, ("MusicCatalog",)), buckets=8, parts=4).run()
+    load = Load(r.spark, root, real, buckets=8, parts=4)
     load.sync()
     return load.stores["MusicCatalog"].items()
 
@@ -681,7 +701,7 @@ def load_with_updates_and_deletes(r: Roles) -> DataFrame:
 @registered
 def index_after_upsert(r: Roles) -> DataFrame:
     """Old and new keys of an index after an item was changed through the store: never behind its table."""
-    load = Load(r.spark, new_path(r.spark, "load"), _targets(r, ("MusicCatalog",)), buckets=8)
+    load = Load(r.spark, new_path(r.spark, "load"), _targets(r, ("MusicCatalog",)), buckets=8, parts=4)
     load.run()
     store = load.stores["MusicCatalog"]
     item = store.items().where("EntityType = 'Album' AND AlbumId = 9")
@@ -693,7 +713,7 @@ def index_after_upsert(r: Roles) -> DataFrame:
 @registered
 def lookup_loaded_index(r: Roles) -> DataFrame:
     """Items by album title and by genre from the stored indexes of a loaded target."""
-    load = Load(r.spark, new_path(r.spark, "load"), _targets(r, ("MusicCatalog",)), buckets=8)
+    load = Load(r.spark, new_path(r.spark, "load"), _targets(r, ("MusicCatalog",)), buckets=8, parts=4)
     load.run()
     one = load.query_index("MusicCatalog", "GSI1", "ALBUM_TITLE#Customer#000000009")
     many = load.query_index("MusicCatalog", "GSI2", "GENRE#ASIA")
@@ -702,7 +722,7 @@ def lookup_loaded_index(r: Roles) -> DataFrame:
 
 @registered
 def load_validation(r: Roles) -> DataFrame:
-    load = Load(r.spark, new_path(r.spark, "load"), _targets(r, ("MusicCatalog", "EmployeeManagement")), buckets=8)
+    load = Load(r.spark, new_path(r.spark, "load"), _targets(r, ("MusicCatalog", "EmployeeManagement")), buckets=8, parts=4)
     load.run()
     return load.validate()
 
@@ -713,7 +733,48 @@ def feed_upsert(r: Roles) -> DataFrame:
     folder = new_path(r.spark, "feed")
     r.table("events").repartitionByRange(4, "event_id").write.parquet(f"{folder}/in")
     fields = "user_id bigint, event_id bigint, event_type string, value double"
-    store = BucketStore(r.spark, f"{folder}/latest", fields, keys=["user_id"], buckets=8)
+    store = KeyedTable(r.spark, f"{folder}/latest", fields, keys=["user_id"], parts=4, buckets=8)
     feed = file_feed(r.spark, f"{folder}/in", source_tables.STAR_SCHEMAS["events"], files_per_batch=1)
     apply_feed(store, feed, f"{folder}/checkpoint", "event_id").awaitTermination()
     return store.items()
+
+
+@registered
+def feed_late_after_delete(r: Roles) -> DataFrame:
+    """Events as changes, some of them deletes; then the older half arrives once more, late: what was deleted stays so."""
+    folder = new_path(r.spark, "feed")
+    r.table("events").write.parquet(f"{folder}/in")
+    r.table("events").where("event_id % 2 = 0").write.parquet(f"{folder}/late")
+    fields = "user_id bigint, event_id bigint, event_type string, value double"
+    store = KeyedTable(r.spark, f"{folder}/latest", fields, keys=["user_id"], parts=4, buckets=8)
+    marked = lambda rows: rows.withColumn("op", F.when(F.col("value") > 50, "delete").otherwise("update"))
+    for part in ("in", "late"):
+        feed = file_feed(r.spark, f"{folder}/{part}", source_tables.STAR_SCHEMAS["events"])
+        # late ones are plain updates
+        apply_feed(store, feed, f"{folder}/{part}-checkpoint", "event_id", *(("op", marked) if part == "in" else ())).awaitTermination()
+    return store.items()
+
+
+@registered
+def load_late_rows(r: Roles) -> DataFrame:
+    """The catalog after two loads, the first without orders whose ids lie between those it had."""
+    root, early = new_path(r.spark, "load"), Roles(r.spark, r.folder, {"orders": F.col("o_orderkey") % 7 != 3})
+    Load(r.spark, root, _targets(early, ("MusicCatalog",)), buckets=8, parts=4).run()
+    load = Load(r.spark, root, _targets(r, ("MusicCatalog",)), buckets=8, parts=4)
+    load.refresh()
+    return load.stores["MusicCatalog"].items()
+
+
+def _item_rules(items: DataFrame) -> dict:
+    price, name = F.coalesce(F.col("UnitPrice"), F.lit(0)), F.coalesce("Name", "Title")
+    return {"price": (F.col("EntityType") != "Track") | (price >= 50000), "name": F.length(name) <= 11, **quality.size_rule(items)}
+
+
+@registered
+def load_rejects(r: Roles) -> DataFrame:
+    """Items that a load refuses, by rule, with what it counted on the way."""
+    target = replace(_targets(r, ("MusicCatalog",))[0], rules=_item_rules)
+    load = Load(r.spark, new_path(r.spark, "load"), [target], buckets=8, parts=4)
+    load.run()
+    counted = load.metrics().where("measure = 'rows'").first()["items"]
+    return load.rejects("MusicCatalog").select("PK", "SK", "EntityType", "failed_rule", F.lit(counted).alias("rows"))

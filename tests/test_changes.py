@@ -1,7 +1,7 @@
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from nestloom.operators.changes import apply_deletes, diff, drop_stale, extract_since, high_water, latest_per_key, upsert
+from nestloom.operators.changes import diff, drop_stale, extract_since, high_water, latest_per_key, upsert
 
 KV = "k bigint, v string"
 
@@ -57,7 +57,6 @@ def test_deletes(rows):
     target = rows(KV, (1, "a"), (2, "b"), (3, "c"))
     changes = rows("k bigint, v string, n int, op string", (1, None, 2, "delete"), (2, "q", 1, "delete"), (2, "r", 2, "update"), (9, None, 1, "delete"))
     assert as_dict(upsert(target, changes, ["k"], "n", "op")) == {2: "r", 3: "c"}
-    assert as_dict(apply_deletes(target, changes, ["k"])) == {3: "c"}
 
 
 def test_one_key_with_a_third_of_all_changes(spark):

@@ -144,3 +144,20 @@ def test_scratch_space(spark, scratch, rows):
     kept = materialize(rows("a int", (1,)))
     assert kept.count() == 1 and "Scan ExistingRDD" not in kept._jdf.queryExecution().toString()
     assert read_or_empty(spark, scratch(), "a int").count() == 0
+
+
+def test_digest_trees_find_what_differs_and_join_no_more(spark):
+    from nestloom.operators.digest_tree import differing_leaves, digest_tree, hash_leaf, range_leaf, tree_mismatch
+
+    old = spark.range(20_000).selectExpr("id", "concat('v', id % 7) AS v", "IF(id % 5 = 0, NULL, id) AS w")
+    new = old.where("id <> 77").withColumn("v", F.when(F.col("id") == 500, "x|").otherwise(F.col("v"))).unionByName(spark.sql("SELECT -3L AS id, 'n' AS v, 1L AS w"))
+    want = {(77, "missing"), (500, "altered"), (-3, "unexpected")}
+    for leaf in (None, range_leaf("id")):
+        assert {tuple(r) for r in tree_mismatch(old, new, ["id"], leaf).collect()} == want
+        trees = [digest_tree(d, ["id"], leaf) for d in (old, new)]
+        leaves = differing_leaves(*trees)
+        # rows that would be joined follow the number of changes, not of rows
+        assert leaves.count() == 3
+        joined = old.withColumn("leaf", hash_leaf(["id"]) if leaf is None else leaf).join(leaves, "leaf", "left_semi").count()
+        assert joined <= 3 * 256
+    assert tree_mismatch(old, old, ["id"]).count() == 0 and tree_mismatch(old.limit(0), old, ["id"]).count() == 20_000
