@@ -12,8 +12,11 @@ misses at most ``n - ceil(percent * n / 100)`` shingles of the other. Steps, eac
    In a task, the bucket's sets are stored in a trie, most frequent shingles on top; a walk for one set adds up
    the overlap on shared paths once and leaves a subtree when even the remaining lengths cannot suffice.
 5. Large buckets are cut into blocks. First every document visits one block of its largest bucket, which links
-   most of a family of near copies. Buckets whose documents are connected by then are done; the others are
-   walked block by block, and only for pairs of different components.
+   most of a family of near copies. Buckets whose documents are connected by then are done. In the others,
+   documents of the bucket's largest component stay in one block each; those outside it visit every block and
+   are compared among each other, so a family of copies and a few strangers cost rows in proportion.
+
+All of this works on sets, not ids: a node is the digest of a set. Ids come back at the end.
 """
 
 from __future__ import annotations
@@ -24,13 +27,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from nestloom.llm.common import materialize
+from nestloom.llm.common import materialize, released
 from nestloom.llm.components import components
 from nestloom.llm.shingles import ShingleHasher
 
-BLOCK = 3000  # documents of a bucket that one task compares; more are cut into blocks
+BLOCK = 3000  # sets of a bucket that one task compares, at most; more are cut into blocks
+BLOCK_TOKENS = 6_000_000  # tokens of the sets of a block, about; larger sets mean fewer of them
 
 
 def _least(percent: int, n: str = "n") -> str:
@@ -44,26 +48,27 @@ def _extra(n):
 
 
 def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str, percent: int | None) -> DataFrame:
-    """``id``, ``n``, set digest ``sig`` and ``hashes``: all of them, or the smallest ones for ``percent``."""
+    """``id``, ``n``, set digest ``sig``, its first half as ``node``, and ``hashes``: all, or the smallest for ``percent``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(width)
         for batch in batches:
-            sizes, sigs, kept = [], [], []
+            sizes, sigs, nodes, kept = [], [], [], []
             for hashes in hasher.sets(batch.column(1)):
                 n = len(hashes)
                 sizes.append(n)
                 sigs.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                nodes.append(int.from_bytes(sigs[-1][:8], "little", signed=True))
                 kept.append(hashes if percent is None else hashes[: n - -(-percent * n // 100) + _extra(n)])
             lengths = np.cumsum([0, *map(len, kept)])
             flat = np.concatenate(kept).view(np.int64) if kept else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))],
-                ["id", "n", "sig", "hashes"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))],
+                ["id", "n", "sig", "node", "hashes"],
             )
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(hashed, "id bigint, n bigint, sig binary, hashes array<bigint>")
+    return rows.mapInArrow(released(hashed), "id bigint, n bigint, sig binary, node bigint, hashes array<bigint>")
 
 
 class Trie:
@@ -181,15 +186,22 @@ class _Partners:
         return wanted
 
 
+def _strangers_first(group: pd.DataFrame) -> pd.DataFrame:
+    """Rows outside the largest component (blocks from 0 on) first: every pair that counts starts at one of them."""
+    group = group.drop_duplicates("id").assign(_within=lambda g: g["block"] < 0)
+    return group.sort_values(["_within", "id"], kind="stable").drop(columns="_within").reset_index(drop=True)
+
+
 def _needed(percent: int):
     """Rows of a bucket that have to be compared with some other one."""
 
     def visit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", kind="stable").drop_duplicates("id").reset_index(drop=True)
+        group = _strangers_first(group)
         partners, keep = _Partners(group, percent), np.zeros(len(group), bool)
-        for i in range(len(group)):
+        for i in np.flatnonzero(group["block"] >= 0):
             wanted = partners.of(i)
             keep[i] |= wanted.any()
+            keep |= wanted
         return group[keep]
 
     return visit
@@ -197,7 +209,7 @@ def _needed(percent: int):
 
 def _other_buckets(percent: int):
     def visit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", kind="stable").drop_duplicates("id")
+        group = _strangers_first(group)
         ids, partners = group["id"].to_numpy(), _Partners(group, percent)
         found = bucket_links(list(group["tokens"]), partners.n, percent, partners.label.copy(), partners.of)
         return pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["a", "b"], dtype="int64")
@@ -208,6 +220,20 @@ def _other_buckets(percent: int):
 _ROW = "id bigint, bucket bigint, component bigint, block int, one int, two int, n bigint, size int, place int, keys array<bigint>"
 
 
+def tasks(open_: DataFrame) -> DataFrame:
+    """Rows of open buckets with the tasks they visit: ``one``, ``two`` and the ``block`` they are in.
+
+    Blocks of a bucket's largest component (``_main``) count -1, -2, ..., those of the others 0, 1, ... A task is a
+    pair of blocks, or one block of others; two blocks of the largest component never meet.
+    """
+    inside, h = F.col("component") == F.col("_main"), F.xxhash64("id")
+    rows = open_.withColumn("block", F.when(inside, -1 - F.pmod(h, F.col("_inner"))).otherwise(F.pmod(h, F.col("_outer"))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("_outer") - 1)
+    met = F.when(inside, others).otherwise(F.concat(others, F.sequence(F.lit(-1), -F.col("_inner"), F.lit(-1))))
+    rows = rows.withColumn("_other", F.explode(met))
+    return rows.withColumn("one", F.least("block", "_other")).withColumn("two", F.greatest("block", "_other"))
+
+
 def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
     """Links that connect all that similarity connects; ``sets``: id, n, tokens (rarest first), prefix."""
     entries = sets.select("id", F.posexplode("prefix").alias("place", "t")).select("id", "place", "t.docs", "t.h")
@@ -216,25 +242,34 @@ def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
     )
     # of tokens with the same documents the first in the global order stands for all
     chosen = lists.where("here > 1").groupBy("same", "here").agg(F.min(F.struct("docs", "h")).alias("t")).select(F.col("t.h").alias("h"), "here")
-    buckets = materialize(entries.join(chosen, "h").withColumnRenamed("h", "bucket"), "buckets")
-
-    blocks = F.ceil(F.col("here") / block).cast("int")
+    buckets = entries.join(chosen, "h").withColumnRenamed("h", "bucket")
     full = sets.select("id", "tokens")
-    largest = buckets.groupBy("id").agg(F.max(F.struct("here", "bucket")).alias("m")).select("id", "m.here", "m.bucket")
-    visits = largest.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).drop("here").join(sets.select("id", "n", "tokens"), "id")
+    weights = sets.select("id", F.size("tokens").cast("bigint").alias("_size"))
+    buckets = materialize(buckets.join(weights, "id"), "buckets")
+    heavy = buckets.groupBy("bucket").agg(F.sum("_size").alias("_tokens"), F.max("here").alias("_here"))
+
+    def cut(count: Column, tokens: Column) -> Column:
+        """Blocks for so many sets with so many tokens."""
+        return F.greatest(F.lit(1), F.ceil(count / block), F.ceil(tokens / BLOCK_TOKENS)).cast("int")
+
+    largest = buckets.groupBy("id").agg(F.max(F.struct("here", "bucket")).alias("m")).select("id", "m.bucket")
+    visits = largest.join(heavy, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), cut(F.col("_here"), F.col("_tokens"))))
+    visits = visits.select("id", "bucket", "block").join(sets.select("id", "n", "tokens"), "id")
     first = materialize(visits.groupBy("bucket", "block").applyInPandas(_first_bucket(percent), "a bigint, b bigint"), "links")
 
     known = components(first)
     labelled = buckets.join(known.withColumnRenamed("node", "id"), "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = materialize(labelled.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
+    parts = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("_size").alias("s"))
+    most = F.max(F.struct("c", "component", "s"))
+    mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), most.alias("m"), F.sum("c").alias("c"), F.sum("s").alias("s")).where("parts > 1")
+    mixed = mixed.select(
+        "bucket", F.col("m.component").alias("_main"), cut(F.col("m.c"), F.col("m.s")).alias("_inner"), cut(F.col("c") - F.col("m.c"), F.col("s") - F.col("m.s")).alias("_outer")
+    )
+    open_ = materialize(labelled.join(mixed, "bucket"), "open")
     keys = open_.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("place", "bucket"))).alias("k")).select("id", F.col("k.bucket").alias("keys"))
     facts = keys.join(sets.select("id", "n", F.size("tokens").alias("size")), "id")
-    rows = open_.withColumn("_of", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("_of")).cast("int"))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
-    rows = rows.withColumn("one", F.least("block", "_other")).withColumn("two", F.greatest("block", "_other"))
-    rows = rows.join(facts, "id").select(*[c.split()[0] for c in _ROW.split(", ")])
+    rows = tasks(open_).join(facts, "id").select(*[c.split()[0] for c in _ROW.split(", ")])
     # whole sets travel only to where they have to be compared
     needed = materialize(rows.groupBy("bucket", "one", "two").applyInPandas(_needed(percent), _ROW), "needed")
     rest = needed.join(full, "id").groupBy("bucket", "one", "two").applyInPandas(_other_buckets(percent), "a bigint, b bigint")
@@ -250,27 +285,39 @@ def jaccard_classes(
     repeated with one id count as one document; an id given to several texts links them. A row with a null
     id gets the component of an equal set, or null, and links nothing else. Empty table: no rows.
     """
-    found = materialize(shingle_sets(docs, width, id_col, text_col, percent), "sets")
-    same = found.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
+    plain = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    found = materialize(shingle_sets(plain, width, "id", "text", percent), "sets")
+    same = found.where("n > 0").groupBy("sig", "node").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
     same = materialize(same, "reps").where("rep IS NOT NULL")
 
     # hash-order filter over one document of every class of equal sets
-    sent = found.join(same.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi").select("id", "n", F.explode("hashes").alias("h"))
+    sent = found.join(same.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi").select("node", "n", F.explode("hashes").alias("h"))
     shared = sent.groupBy("h").count().where("count > 1").select("h")
-    enough = sent.join(shared, "h", "left_semi").groupBy("id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c"))
-    alive = materialize(enough.where(f"c >= 1 + {_least(percent)} div 40").select("id"), "alive")
+    enough = sent.join(shared, "h", "left_semi").groupBy("node").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c"))
+    alive = enough.where(f"c >= 1 + {_least(percent)} div 40").select("node")
+    alive = materialize(same.join(alive, "node", "left_semi").select("node", F.col("rep").alias("id")), "alive")
 
     # order by rarity
     # the ids grow with the input, so they are never broadcast: one plan for every size
-    texts = docs.select(id_col, text_col).join(alive.withColumnRenamed("id", id_col).hint("merge"), id_col, "left_semi")
-    tokens = materialize(shingle_sets(texts, width, id_col, text_col, None).select("id", F.explode("hashes").alias("h")), "tokens")
+    texts = plain.join(alive.select("id").hint("merge"), "id", "left_semi")
+    whole = shingle_sets(texts, width, "id", "text", None).join(alive.hint("merge"), ["id", "node"], "left_semi")
+    tokens = materialize(whole.select("node", F.explode("hashes").alias("h")), "tokens")
     often = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    sets = tokens.join(often, "h").groupBy("id").agg(F.sort_array(F.collect_set(F.struct("docs", "h"))).alias("s"))
-    sets = sets.join(same.groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n")), "id").where(f"size(s) >= {_least(percent)}")
-    sets = sets.select("id", "n", F.col("s.h").alias("tokens"), F.expr(f"slice(s, 1, int(size(s) - {_least(percent)} + 1))").alias("prefix"))
-    linked = components(_links(materialize(sets, "ordered"), percent, block))
-
-    classes = same.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("_c"))
-    return found.select("id", "n", "sig").join(classes, "sig", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_c", "id").alias("component_id")
-    )
+    sets = tokens.join(often, "h").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("docs", "h"))).alias("s"))
+    sets = sets.join(same.select("node", "n"), "node").where(f"size(s) >= {_least(percent)}")
+    sets = sets.select(F.col("node").alias("id"), "n", F.col("s.h").alias("tokens"), F.expr(f"slice(s, 1, int(size(s) - {_least(percent)} + 1))").alias("prefix"))
+    links = _links(materialize(sets, "ordered"), percent, block)
+
+    # texts under one id belong together
+    held = found.where("n > 0 AND id IS NOT NULL").select("id", "node")
+    several = held.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("_most")).where("a < _most").select("id", "a")
+    linked = components(links.union(held.join(several, "id").where("node <> a").select("a", F.col("node").alias("b"))))
+    members = linked.union(linked.select(F.col("component").alias("node"), "component").distinct())
+    least = members.join(same.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("_c"))
+    named = members.join(least, "component").select("node", "_c")
+
+    classes = same.join(named, "node", "left").select("sig", F.coalesce("_c", "rep").alias("_c"))
+    rows = found.select("id", "n", "sig")
+    # sets without shingles are equal but no class
+    out = rows.where("n > 0").join(classes, "sig", "left").unionByName(rows.where("n = 0").withColumn("_c", F.lit(None).cast("bigint")))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_c", "id").alias("component_id"))

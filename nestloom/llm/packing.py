@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from nestloom.llm.common import materialize
+from nestloom.llm.common import materialize, released
 
 _CACHE_WORDS = 300_000  # words whose ids a task remembers; a full cache is emptied, which costs time only
 _NEARLY_FULL = 4  # a bin with so few free tokens is final
@@ -87,8 +87,8 @@ def token_pieces(docs: DataFrame, ranks_path: str | None = None, size: int = 204
         tokenizer = WordTokenizer(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
         for batch in batches:
             out: list[tuple] = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = tokenizer.ids(text or "") + b"\0\0\0\0"
+            for key, text in zip(batch.column(0), batch.column(1), strict=True):
+                key, ids = key.as_py(), tokenizer.ids(text.as_py() or "") + b"\0\0\0\0"
                 count = len(ids) // 4
                 start, piece, length = 0, 0, count if count <= size else count % size or size
                 while start < count:
@@ -101,7 +101,7 @@ def token_pieces(docs: DataFrame, ranks_path: str | None = None, size: int = 204
             )
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    found = rows.mapInArrow(pieces, "_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    found = rows.mapInArrow(released(pieces), "_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
     return found.withColumnRenamed("_id", id_col)
 
 

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from nestloom.llm.common import materialize, released
 from nestloom.llm.samples import labelled_sample
 
 ORDER = 3  # characters in a common subsequence
@@ -27,7 +28,7 @@ DECAY = 0.6  # factor for each character that a subsequence spans
 FLOOR, FULL = 0.4, 0.8  # normalised kernel values up to the first count as no likeness, from the second as full likeness
 WIDTH = 24  # longer words are looked at in windows of this width, half overlapping
 _COMMON = 0.5  # share of a landmark's pairs of characters that a word needs to be compared with it
-_CACHE = 400_000
+_HITS, _MISSES = 20_000, 100_000  # words remembered by a task, with features and without: about 20 MB in all
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _SIGNS = re.compile(r"[\W_]+")
 _SPELLED = re.compile(rf"(?<![^\W_])[^\W_](?:[\W_]+[^\W_]){{{ORDER - 1},}}(?![^\W_])")  # single characters in a row
@@ -152,25 +153,32 @@ class TextFeatures:
 
     def __init__(self, landmarks: list[str]):
         self.words = WordFeatures(landmarks)
-        self._known: dict[str, np.ndarray | None] = {}
+        self._hits: dict[str, np.ndarray] = {}
+        self._misses: set[str] = set()
 
     def of(self, texts: list[str | None]) -> np.ndarray:
         bags = [word_set(t) for t in texts]
-        known = self._known
-        if len(known) > _CACHE:
-            known.clear()
-        new = list({w for bag in bags for w in bag if w not in known})
-        known.update(dict.fromkeys(new))
-        known.update({new[i]: v for i, v in self.words.of(new).items()})
+        for cache, most in ((self._hits, _HITS), (self._misses, _MISSES)):
+            if len(cache) > most:
+                cache.clear()
+        new = list({w for bag in bags for w in bag if w not in self._hits and w not in self._misses})
+        found = self.words.of(new)
+        self._hits.update({new[i]: v.astype(np.float32) for i, v in found.items()})
+        self._misses.update(w for i, w in enumerate(new) if i not in found)
         most, total = np.zeros((2, len(texts), len(self.words.landmarks)))
         for i, bag in enumerate(bags):
             for w in bag:
-                v = known[w]
+                v = self._hits.get(w)
                 if v is not None:
                     np.maximum(most[i], v, out=most[i])
                     total[i] += v
         return np.concatenate([most, np.log1p(total)], 1)
 
+    def each(self, column: pa.Array, block: int = 128) -> Iterator[np.ndarray]:
+        """Features of a column's texts, some at a time."""
+        for at in range(0, len(column), block):
+            yield self.of(column.slice(at, block).to_pylist())
+
 
 def _mapped(features: np.ndarray, nystroem: np.ndarray) -> np.ndarray:
     """Nyström vectors of both kinds of features: largest value and sum over words."""
@@ -243,18 +251,17 @@ def _logistic(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = 6000, landmarks: int = 64, label: str = "toxic") -> ToxicityModel:
     """Model from at most about ``per_class`` labelled texts of each class; without both classes, a constant."""
-    sample = labelled_sample(docs, labels, label, learn, per_class).cache()
+    sample = materialize(labelled_sample(docs, labels, label, learn, per_class), "sample")  # bounded by ``per_class``
     chosen = choose_landmarks(sample, landmarks)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = TextFeatures(chosen)
         for batch in batches:
-            found = features.of(batch.column(0).to_pylist())
+            found = np.concatenate([*features.each(batch.column(0)), np.zeros((0, 2 * len(chosen)))])
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(1), lists], ["y", "x"])
 
-    rows = sample.select("text", "y").mapInArrow(featurise, "y int, x array<double>").toPandas()
-    sample.unpersist()
+    rows = sample.select("text", "y").mapInArrow(released(featurise), "y int, x array<double>").toPandas()
     y = rows["y"].to_numpy(float)
     if not chosen:
         rate = (y.sum() + 0.5) / (len(y) + 1.0)
@@ -279,12 +286,11 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = TextFeatures(model.landmarks)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = np.concatenate([model.scores(features.of(texts[k : k + 512])) for k in range(0, len(texts), 512)] or [np.empty(0)])
+            found = np.concatenate([np.empty(0), *map(model.scores, features.each(batch.column(1)))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), pa.array((found >= 0.5).astype(np.int32))], ["id", "score", "predicted"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(scored, "id bigint, score double, predicted int").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(released(scored), "id bigint, score double, predicted int").withColumnRenamed("id", id_col)
 
 
 def reject(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -294,8 +300,9 @@ def reject(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, text_c
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = TextFeatures(model.landmarks)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 yield part.filter(pa.array(model.scores(features.of(part.column(place).to_pylist())) < threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names may hold any sign
+    return plain.mapInArrow(released(keep), plain.schema).toDF(*docs.columns)
