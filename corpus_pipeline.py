@@ -36,12 +36,16 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group that near copies connect; those without id come last."""
-    lacking = F.lit(1 << 62) + F.pmod(F.xxhash64("text", "lang", "source"), F.lit(1 << 61))
-    rows = docs.select(F.coalesce(F.col("doc_id"), lacking).alias("doc_id"), "text", _whole(docs))
-    classes = ngram_join.jaccard_classes(rows, WIDTH, PERCENT)
-    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    return rows.join(kept, "doc_id", "left_semi").select("row.*")
+    """The document with the smallest id of every group that near copies connect, those without id last.
+
+    Rows are told apart by all they hold, so near copies under one id are found too, and one of them stays.
+    """
+    keyed = docs.select(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("key"), "doc_id", "text", _whole(docs))
+    classes = ngram_join.jaccard_classes(keyed.select("key", "text"), WIDTH, PERCENT, id_col="key").select("key", "component_id").distinct()
+    places = classes.join(keyed.select("key", "doc_id"), "key")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m")
+    kept = places.groupBy("component_id").agg(first).select(F.col("m.key").alias("key"))
+    return keyed.join(kept, "key", "left_semi").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
