@@ -21,4 +21,4 @@ def docs(spark):
 def small(spark):
     from helpers import SF
 
-    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+    return spark.read.parquet(f"{SF}/documents.parquet")

@@ -78,7 +78,7 @@ def damaged(turns):
 
 def test_unrolled_edits_are_the_cheapest_and_least():
     rng = random.Random(4)
-    for _ in range(400):
+    for _ in range(120):
         turns = []
         for _ in range(rng.randint(0, 6)):
             turns += [(rng.choice(["system", "user", "assistant", "tool"]), "x", rng.choice(["", "", "blank", "truncated"]))] * rng.choice([1, 1, 1, 2])
@@ -102,7 +102,7 @@ def test_conversations_equal_exhaustive_search(spark, monkeypatch, bits):
     rng = random.Random(8)
     said = ["Yes.", "No!", "Why", "", " \n\t", "Yes. ", "é?", None]
     rows = []
-    for conv in range(60):
+    for conv in range(30):
         for turn in range(rng.randint(1, 6)):
             rows.append((conv, turn * rng.choice([1, 1, 2]), rng.choice(["user", "assistant", "user", "assistant", "system", None, "", "tool"]), rng.choice(said) if rng.random() < 0.6 else f"t{turn}."))
         seen = set()
