@@ -4,7 +4,7 @@ A parent may own any share of all child rows, so nothing here gathers a whole gr
 
 * counts are combined before the shuffle;
 * embedding and first-n cut every group inside each task before the shuffle;
-* numbering sorts by range, so that a group spreads over as many tasks as it needs.
+* numbering sorts by range, or by blocks of ids, so that a group spreads over as many tasks as it needs.
 
 One plan serves groups of every size.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from nestloom.functions.items import as_column
 from nestloom.sources.scratch import materialize
@@ -183,6 +183,70 @@ def paginate(
     )
 
 
+def embed_pages(
+    parent: DataFrame,
+    child: DataFrame,
+    on: str,
+    fields: Sequence[str],
+    member: str,
+    order: Sequence[str],
+    cap: int,
+    name: str,
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """``parent`` once for its list and once for each of its pages, from one numbering of the children.
+
+    Adds ``_total`` (all children), ``_page``, ``_rows`` and the array ``name``. Page 0 is the parent itself: up to
+    ``cap`` children it holds the whole list, above that NULL, and pages 1, 2, … hold ``cap`` children each.
+    ``member`` is the child's whole-number id and the first of the order, which ends in the child's other
+    fields; children without key or id don't count, nor do those whose parent is not there.
+
+    Numbers are prefix sums over the id's upper bits: rows are numbered within ``2^16`` neighbouring ids of a
+    parent, the counts of those blocks within ``2^32`` ids, and those once more. So no task sorts more of a
+    parent than its rows in one block, however many it owns, and nothing is sampled or written before the query
+    runs. Counting reads two columns and is combined before its shuffle; rows move by block and by page only.
+    """
+    dtype = child.schema[member].dataType
+    if not isinstance(dtype, T.IntegralType):
+        raise ValueError(f"{member} has to be a whole number, not {dtype.simpleString()}")
+    child = child.where(F.col(on).isNotNull() & F.col(member).isNotNull())
+    # never NULL, so that no join adds a filter of its own and all uses of the counts stay one shuffle
+    zero = F.lit(0).cast("bigint")
+    child = child.withColumn("_block", F.coalesce(F.shiftright(F.col(member).cast("bigint"), 16), zero))
+    blocks = child.groupBy(on, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    upper = F.coalesce(F.shiftright("_block", 16), zero).alias("_upper")
+
+    def before(by: list[str], ordered: str) -> Column:
+        earlier = Window.partitionBy(*by).orderBy(ordered).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+
+    parts = blocks.groupBy(on, upper).agg(F.sum("_n").alias("_n"))
+    totals = parts.groupBy(on).agg(F.sum("_n").alias("_total"))
+    whole = F.sum("_n").over(Window.partitionBy(on).orderBy("_upper").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    starts = parts.select(on, "_upper", before([on], "_upper").alias("_start"), whole.alias("_total"))
+    inner = blocks.select(on, "_block", upper, "_n").withColumn("_inner", before([on, "_upper"], "_block"))
+    offsets = inner.join(starts, [on, "_upper"]).select(on, "_block", (F.col("_start") + F.col("_inner")).alias("_before"), "_total")
+
+    ties = [f for f in fields if f not in order and f in child.columns]
+    within = Window.partitionBy(on, "_block").orderBy(*order, *ties)
+    numbered = child.withColumn("_rn", F.row_number().over(within)).join(offsets, [on, "_block"])
+    numbered = numbered.withColumn("_rn", F.col("_rn") + F.col("_before"))
+    place = F.when(F.col("_total") <= cap, F.lit(0)).otherwise(F.floor((F.col("_rn") - 1) / cap) + 1).cast("bigint")
+    paged = numbered.withColumn("_page", place).drop("_block", "_before", "_total")
+    paged = paged if enrich is None else enrich(paged)
+    placed = F.struct("_rn", F.struct(*fields).alias("v"))
+    lists = paged.groupBy(on, "_page").agg(
+        F.count(F.lit(1)).alias("_rows"), F.transform(F.array_sort(F.collect_list(placed)), lambda e: e["v"]).alias(name)
+    )
+
+    total = F.coalesce("_total", F.lit(0).cast("bigint"))
+    pages = F.when(total > cap, F.ceil(total / cap)).otherwise(F.lit(0)).cast("bigint")
+    heads = parent.join(totals, on, "left").withColumn("_total", total)
+    heads = heads.withColumn("_page", F.explode(F.sequence(F.lit(0).cast("bigint"), pages)))
+    empty = F.array().cast(lists.schema[name].dataType)
+    return heads.join(lists, [on, "_page"], "left").withColumn(name, F.when(F.col("_total") == 0, empty).otherwise(F.col(name)))
+
+
 def nest_tree(
     root: DataFrame,
     child: DataFrame,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from nestloom.functions.items import full_name, iso_text, key, money, present, sparse, text
-from nestloom.operators.nest import bounded_embed, child_sums, paginate, union_items
+from nestloom.operators.nest import bounded_embed, child_sums, embed_pages, union_items
 
 LINE_CAP = 50
 
@@ -71,7 +71,7 @@ def order_items(
     artist: DataFrame,
     cap: int = LINE_CAP,
 ) -> DataFrame:
-    """Orders with their lines in line order; above ``cap`` lines ``order_pages`` holds them."""
+    """Orders with their lines in line order; above ``cap`` lines ``orders_with_pages`` adds pages of them."""
     orders = bounded_embed(
         invoice.where(F.col("CustomerId").isNotNull()),
         plain_lines(line),
@@ -100,46 +100,44 @@ def order_items(
     )
 
 
-def order_pages(
-    invoice: DataFrame,
-    line: DataFrame,
-    track: DataFrame,
-    album: DataFrame,
-    artist: DataFrame,
-    cap: int = LINE_CAP,
+def orders_with_pages(
+    invoice: DataFrame, customer: DataFrame, line: DataFrame, track: DataFrame, album: DataFrame, artist: DataFrame, cap: int = LINE_CAP
 ) -> DataFrame:
-    """Pages of ``cap`` lines for every order that has too many to embed them.
+    """Orders of known customers, and pages of ``cap`` lines for every order that has too many to embed them.
 
-    Their sort keys don't begin like those of orders, so a query for a customer's orders leaves them out.
+    The pages' sort keys don't begin like those of orders, so a query for a customer's orders leaves them out.
     """
-    owned = invoice.where(F.col("CustomerId").isNotNull())
-    known = plain_lines(line).where(F.col("InvoiceLineId").isNotNull()).join(owned.select("InvoiceId"), "InvoiceId", "left_semi")
-    sizes = known.groupBy("InvoiceId").agg(F.count(F.lit(1)).alias("_n"))
-    large = known.join(sizes.where(F.col("_n") > cap).select("InvoiceId"), "InvoiceId", "left_semi")
-    pages = paginate(
-        named_lines(large, track, album, artist), "InvoiceId", ["InvoiceLineId", "TrackId", "UnitPrice", "Quantity"], cap, LINE_FIELDS, "LineItems"
+    owned = invoice.join(customer.select("CustomerId"), "CustomerId", "left_semi")
+    found = embed_pages(
+        owned,
+        plain_lines(line),
+        "InvoiceId",
+        LINE_FIELDS,
+        "InvoiceLineId",
+        ["InvoiceLineId", "TrackId"],
+        cap,
+        "LineItems",
+        enrich=lambda rows: named_lines(rows, track, album, artist),
     )
     placed = iso_text(invoice, "InvoiceDate")
-    heads = owned.select("InvoiceId", "CustomerId", placed.alias("_placed"))
-    return pages.join(heads, "InvoiceId").select(
+    head = F.col("_page") == 0
+    page_key = F.concat(key("ORDER_LINES", placed, "InvoiceId"), F.lit("#"), key("PAGE", "_page"))
+    return found.select(
         key("CUSTOMER", "CustomerId").alias("PK"),
-        F.concat(key("ORDER_LINES", "_placed", "InvoiceId"), F.lit("#"), key("PAGE", "page")).alias("SK"),
-        F.lit("OrderLinesPage").alias("EntityType"),
+        F.when(head, key("ORDER", placed, "InvoiceId")).otherwise(page_key).alias("SK"),
+        F.when(head, F.lit("Order")).otherwise(F.lit("OrderLinesPage")).alias("EntityType"),
         "InvoiceId",
-        F.col("page").alias("Page"),
-        F.col("page_rows").alias("PageLineCount"),
+        F.when(head, placed).alias("InvoiceDate"),
+        F.when(head, money("Total")).alias("Total"),
+        F.when(head, F.col("_total")).alias("LineItemCount"),
+        F.when(head & (F.col("_total") > cap), True).alias("LargeOrder"),
+        *[F.when(head, sparse(invoice, c)).alias(c) for c in BILLING_OPTIONAL],
         "LineItems",
+        F.when(~head, F.col("_page")).alias("Page"),
+        F.when(~head, F.col("_rows")).alias("PageLineCount"),
     )
 
 
-def orders_with_pages(
-    invoice: DataFrame, customer: DataFrame, line: DataFrame, track: DataFrame, album: DataFrame, artist: DataFrame, cap: int = LINE_CAP
-) -> DataFrame:
-    """Orders of known customers and the pages of the large ones."""
-    owned = invoice.join(customer.select("CustomerId"), "CustomerId", "left_semi")
-    return union_items(order_items(owned, line, track, album, artist, cap), order_pages(owned, line, track, album, artist, cap))
-
-
 def customer_orders_target(
     customer: DataFrame,
     employee: DataFrame,

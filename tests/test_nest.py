@@ -8,6 +8,7 @@ from nestloom.operators.nest import (
     bounded_embed,
     child_counts,
     child_sums,
+    embed_pages,
     entity_counts,
     first_n,
     nest_tree,
@@ -142,3 +143,34 @@ def test_embed_matches_plain_python(spark, data, cap):
         mine = sorted(v for k, v in data if k == r.k)
         assert r.n == len(mine) and r.big == (len(mine) > cap)
         assert (None if r.kids is None else [x.v for x in r.kids]) == (mine if len(mine) <= cap else None)
+
+
+@pytest.mark.parametrize("spread", [1, 40_000, 5_000_000_000])
+def test_embed_pages_numbers_like_one_sort(spark, spread):
+    """Dense, sparse and very wide ids, negative ones among them, one parent with most rows, repeated ids."""
+    import random
+
+    draw = random.Random(spread)
+    given = [(draw.choice([1, 1, 1, 1, 2, 3, 9]), draw.randrange(-60, 60) * spread, draw.choice("abc")) for _ in range(400)]
+    given += [(None, 5, "x"), (2, None, "y")]
+    parents = [(p, f"p{p}") for p in (1, 2, 3, 4)] + [(None, "none")]
+    found = embed_pages(
+        spark.createDataFrame(parents, "p long, label string"),
+        spark.createDataFrame(given, "p long, id long, v string"),
+        "p", ["id", "v"], "id", ["id"], 7, "rows",
+    ).collect()
+    wanted = {}
+    for p, label in parents:
+        own = sorted((i, v) for q, i, v in given if q == p and q is not None and i is not None)
+        wanted[label, 0] = (len(own), own if len(own) <= 7 else None)
+        if len(own) > 7:
+            for start in range(0, len(own), 7):
+                wanted[label, start // 7 + 1] = (len(own), own[start : start + 7])
+    got = {(r.label, r._page): (r._total, None if r.rows is None else [tuple(x) for x in r.rows]) for r in found}
+    assert got == wanted and len(found) == len(wanted)
+
+
+def test_embed_pages_wants_whole_numbers(spark):
+    parent, child = spark.createDataFrame([(1,)], "p long"), spark.createDataFrame([(1, "a")], "p long, id string")
+    with pytest.raises(ValueError):
+        embed_pages(parent, child, "p", ["id"], "id", ["id"], 7, "rows")

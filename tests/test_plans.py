@@ -65,3 +65,14 @@ def test_first_n_is_cut_before_the_shuffle(spark):
 def test_latest_is_top_k_and_lookup_filters_reach_the_source(spark):
     recent = plan(REGISTRY["lookup_recent"](spark, FOLDER))
     assert "TakeOrderedAndProject" in recent
+
+
+def test_orders_and_pages_come_from_one_numbering(spark):
+    r = Roles(spark, FOLDER)
+    parts = r.line_parts()
+    found = customers.orders_with_pages(r.invoice(), r.customer(), r.invoice_line(), *parts[1:], cap=5)
+    assert "rangepartitioning" not in plan(found)
+    found.collect()
+    done = found._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    # rows once, and their counts once: the other uses of the counts take the shuffle that is there
+    assert done.count("lineitem.parquet") == 2 and "ReusedExchange" in done
