@@ -1,6 +1,7 @@
 """Language, toxicity, quality, chat, fingerprints, mixing, packing, and the pipeline."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -32,6 +33,63 @@ def test_language_of_odd_texts(docs):
     assert language.fit_dictionaries(docs()) == {} and language.classify(docs(), {}).count() == 0
 
 
+def plain_language_query(rows, texts=200, total=32_000):
+    """Sample by id, letters, even pieces of whole texts, and the smallest compressed size, all without Spark."""
+    import struct
+
+    import xxhash
+    import zstandard
+
+    def chosen(i, n):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", 11), seed=xxhash.xxh64_intdigest(struct.pack("<q", i), seed=42))
+        return (h - (1 << 64) if h >> 63 else h) % 1_000_000 < min(1.0, texts / n) * 1_000_000
+
+    def letters(text):
+        return re.sub(" +", " ", re.sub(r"[^\w]|[\d_]", " ", text.lower())).strip()
+
+    learn = [(i, t, lang) for i, t, lang in rows if t and lang and not held(i, 5, 0)]
+    n = Counter(lang for *_, lang in learn)
+    dictionaries = {}
+    for lang in sorted(n, key=lambda x: (-n[x], x)):
+        given = [x for x in (letters(t) for i, t, own in learn if own == lang and chosen(i, n[lang])) if x]
+        sizes = [len(x.encode()) + 1 for x in given]
+        share = max(c for c in range(total + 1) if sum(min(c, s) for s in sizes) <= total)
+        dictionaries[lang] = "\n".join(sorted(language.spread(x, share - 1) for x in given)).encode()
+    out = {}
+    for i, text, _ in rows:
+        data = letters(text or "").encode()
+        sizes = {}
+        for lang, d in dictionaries.items():
+            learned = zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            c = zstandard.ZstdCompressor(level=6, dict_data=learned, write_content_size=False, write_dict_id=False)
+            sizes[lang] = sum(len(c.compress(data[k : k + 4096])) for k in range(0, len(data), 4096))
+        out[i] = min(sizes, key=sizes.get) if data else "und"
+    return dictionaries, out
+
+
+def test_language_query_equals_plain_python(spark, small):
+    rows = [(r.doc_id, r.text, r.lang) for r in small.collect()]
+    _, wanted = plain_language_query(rows)
+    got = {r.doc_id: r for r in queries.op2_language_id(spark, SF).collect()}
+    assert {i: r.lang_pred for i, r in got.items()} == wanted
+    learn = small.where(F.col("doc_id").isin([i for i, *_ in rows if not held(i, 5, 0)]))
+    fewer, _ = plain_language_query(rows, texts=10, total=3000)
+    for parts in (1, 7):
+        assert language.fit_dictionaries(learn.repartition(parts), dictionary_bytes=3000, texts=10) == fewer
+
+
+def test_language_dictionaries_hold_whole_texts(docs):
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}\u00e9" for i in range(17_000)) * 12  # over 1 MiB
+    df = docs((1, long), (2, "kurz"), (None, "ohne nummer")).withColumns({"lang": F.lit("xx"), "letters": F.lit(1), "size": F.lit(2)})
+    found = language.fit_dictionaries(df, dictionary_bytes=4000)["xx"]
+    assert 3500 < len(found) <= 4000 and b"kurz" in found and found.decode()
+    places = [long.index(w) / len(long) * 12 for w in found.decode().split() if w.startswith("w")]
+    assert len(places) > 300 and np.std(places) > 0.2, "pieces come from everywhere"
+    got = {r.doc_id: r.lang_pred for r in language.classify(df, {"yy": "zzz \u00fc".encode(), "xx": found}).collect()}
+    assert got[1] == "xx" and len(got) == 3
+    assert language.spread("\u00e9" * 500, 300, 100) and language.spread("ab", 300) == "ab" and language.level([5, 1, 9], 12) == 6
+
+
 def naive_kernel(s, t):
     """All common subsequences of three characters, each with the decay of what it spans."""
     from itertools import combinations
