@@ -17,6 +17,8 @@ from nestloom.llm.common import materialize, partitions
 
 SAMPLES = 64
 _AT_ONCE = 8  # samples drawn in one pass over a term; more make code too large for the JVM to compile
+_LAST = -(1 << 63)  # where rows without id stand in the order
+_STEP = 10_000
 _BITS = 28  # bits that tell a drawn (term, weight) pair from others
 
 
@@ -71,64 +73,71 @@ def fingerprint(signature: Column) -> Column:
 
 
 def neighbours(ids: DataFrame, parts: int) -> DataFrame:
-    """``id``, ``next`` in descending order (the first follows the last), ``prev`` and its ``prev_n``, for ids with ``n``.
+    """``id``, ``h``, ``copies``, ``next`` in descending order (the first follows the last), ``prev`` with its ``n``, for rows with ``n``.
 
-    Ids are dealt by range; within a part the neighbours are found by a window, and the parts' ends, one row
-    for each part, are joined among themselves.
+    Rows are dealt by range of ``id`` and ``h``; within a part the neighbours are found by a window, and the parts'
+    ends, one row for each part, are joined among themselves.
     """
-    dealt = materialize(ids.repartitionByRange(parts, "id").withColumn("part", F.spark_partition_id()), "ids")
-    inside = Window.partitionBy("part").orderBy(F.desc("id"))
+    dealt = materialize(ids.repartitionByRange(parts, "id", "h").withColumn("part", F.spark_partition_id()), "ids")
+    inside = Window.partitionBy("part").orderBy(F.desc("id"), F.desc("h"))
+    whole_row = F.struct("id", "h", "n")
     near = dealt.select(
-        "id", "part", F.lead("id").over(inside).alias("next"), F.lag("id").over(inside).alias("prev"), F.lag("n").over(inside).alias("prev_n")
+        "id", "h", "copies", "part", F.lead(whole_row).over(inside).alias("next"), F.lag(whole_row).over(inside).alias("prev")
     )
-    ends = dealt.groupBy("part").agg(F.max(F.struct("id", "n")).alias("top"), F.min(F.struct("id", "n")).alias("low"))
+    ends = dealt.groupBy("part").agg(F.max(whole_row).alias("top"), F.min(whole_row).alias("low"))
     across = Window.partitionBy().orderBy(F.desc("part"))  # one row for each part
-    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    all_parts = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.select(
         "part",
-        F.coalesce(F.lead("top.id").over(across), F.first("top.id").over(whole)).alias("down"),
-        F.coalesce(F.lag("low").over(across), F.last("low").over(whole)).alias("up"),
-    )
-    return near.join(F.broadcast(ends), "part").select(
-        "id", F.coalesce("next", "down").alias("next"), F.coalesce("prev", "up.id").alias("prev"), F.coalesce("prev_n", "up.n").alias("prev_n")
+        F.coalesce(F.lead("top").over(across), F.first("top").over(all_parts)).alias("down"),
+        F.coalesce(F.lag("low").over(across), F.last("low").over(all_parts)).alias("up"),
     )
+    return near.join(F.broadcast(ends), "part").select("id", "h", "copies", F.coalesce("next", "down").alias("next"), F.coalesce("prev", "up").alias("prev"))
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``.
+    """Id, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next`` of every row.
 
     The edited text has its last half (rounded down) replaced by the beginning of the next document in
     descending order of ids, the first following the last; a lone document follows itself. Null text counts
-    as empty. Texts without terms have a fingerprint of their own and are alike. Rows without id are left
-    out, as they have no place in the order; rows repeated with one id are one document, and of different
-    texts under one id the smallest counts. An empty table gives no rows.
+    as empty. Texts without terms have a fingerprint of their own and are alike. Rows without id come last in the
+    order, and where ids are the same or missing, a hash of id and text decides. Repeated rows are one
+    document in the order and have one result each. An empty table gives no rows; further columns of ``docs`` are left
+    out, whatever they are called.
     """
     parts = partitions(docs.sparkSession)
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).where("id IS NOT NULL")
-    order = materialize(neighbours(rows.groupBy("id").agg(F.max(F.char_length("text")).alias("n")), parts), "order")
+    node = ["id", "h"]  # tells documents apart, those with one id and those without any too
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("given"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    rows = rows.select(F.coalesce("given", F.lit(_LAST)).alias("id"), F.xxhash64("given", "text").alias("h"), F.col("given").isNull().alias("unnamed"), "text")
+    counted = rows.groupBy(*node).agg(F.max(F.char_length("text")).alias("n"), F.count(F.lit(1)).alias("copies"))
+    order = materialize(neighbours(counted, parts), "order")
 
-    one = Window.partitionBy("id").orderBy("text")
+    one = Window.partitionBy(*node).orderBy("unnamed")
     # more partitions than usual: the terms of a partition's texts are counted in memory
-    base = rows.repartition(4 * parts, "id").withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select("id", "text")
-    given = base.join(order, "id").select(F.col("prev").alias("id"), F.expr("left(text, int(prev_n div 2))").alias("start"))
+    base = rows.repartition(4 * parts, *node).withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(*node, "unnamed", "text")
+    given = base.join(order, node).select(F.col("prev.id").alias("id"), F.col("prev.h").alias("h"), F.expr("left(text, int(prev.n div 2))").alias("start"))
     n = F.char_length("text")
-    both = base.join(given.repartition(4 * parts, "id"), "id").select("id", "text", n.alias("n"), "start")
-    both = both.select("id", "text", "n", F.expr("concat(left(text, n - n div 2), left(start, n div 2))").alias("edited"))
+    both = base.join(given.repartition(4 * parts, *node), node).select(*node, "unnamed", "text", n.alias("n"), "start")
+    both = both.select(*node, "unnamed", "text", "n", F.expr("concat(left(text, n - n div 2), left(start, n div 2))").alias("edited"))
 
-    pair = both.select("id", F.explode(F.array(F.struct(F.lit(0).alias("edit"), "text"), F.struct(F.lit(1).alias("edit"), F.col("edited").alias("text")))).alias("v"))
-    drawn = signatures(pair.select("id", "v.edit", "v.text"), ["id", "edit"], samples)
+    pair = both.select(*node, F.explode(F.array(F.struct(F.lit(0).alias("edit"), "text"), F.struct(F.lit(1).alias("edit"), F.col("edited").alias("text")))).alias("v"))
+    drawn = signatures(pair.select(*node, "v.edit", "v.text"), [*node, "edit"], samples)
     none = F.array_repeat(F.lit(-1), samples)
-    drawn = drawn.groupBy("id").agg(
+    drawn = drawn.groupBy(*node).agg(
         F.first(F.when(F.col("edit") == 0, F.col("signature")), True).alias("own"), F.first(F.when(F.col("edit") == 1, F.col("signature")), True).alias("changed")
     )
-    facts = both.select("id", "n", F.sha2("edited", 256).alias("sha"))
-    found = facts.join(drawn, "id", "left").select("id", "n", "sha", F.coalesce("own", none).alias("own"), F.coalesce("changed", none).alias("changed"))
+    facts = both.select(*node, "unnamed", "n", F.sha2("edited", 256).alias("sha"))
+    found = facts.join(drawn, node, "left").select(*node, "unnamed", "n", "sha", F.coalesce("own", none).alias("own"), F.coalesce("changed", none).alias("changed"))
     found = materialize(found, "signatures")
 
-    after = order.select(F.col("next").alias("id"), F.col("id").alias("of")).join(found.select("id", "own"), "id")
-    after = after.select(F.col("of").alias("id"), F.col("own").alias("next_own"))
-    return found.join(after, "id").select(
-        F.col("id").alias(id_col),
+    after = order.select(F.col("next.id").alias("id"), F.col("next.h").alias("h"), F.struct("id", "h", "copies").alias("of")).join(found.select(*node, "own"), node)
+    after = after.select("of.*", F.col("own").alias("next_own"))
+    whole = found.join(after, node)
+    # copies in steps, so that no row ever holds a list as long as their number
+    whole = whole.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"), F.lit(_STEP).cast("bigint"))))
+    whole = whole.withColumn("_copy", F.explode(F.sequence(F.col("_from"), F.least(F.col("copies"), F.col("_from") + (_STEP - 1)))))
+    return whole.select(
+        F.when(~F.col("unnamed"), F.col("id")).alias(id_col),
         F.col("n").cast("bigint").alias("n_chars"),
         F.col("sha").alias("edited_sha256"),
         fingerprint(F.col("own")).alias("fingerprint"),

@@ -216,14 +216,27 @@ def test_fingerprints_estimate_generalised_jaccard(small):
 
 def test_fingerprints_of_odd_tables(docs):
     df = docs((5, "a a b"), (5, "a a b"), (4, None), (3, ""), (2, "a a b"), (None, "x"))
-    got = {r.doc_id: r for r in weighted_sampling.fingerprints(df, samples=8).collect()}
-    assert set(got) == {2, 3, 4, 5}
-    assert got[5].fingerprint == got[2].fingerprint and got[2].near_next == 1.0, "the first follows the last"
+    found = weighted_sampling.fingerprints(df.withColumns({"h": F.lit(1), "n": F.lit("n"), "copies": F.lit(9)}), samples=8).collect()
+    got = {r.doc_id: r for r in found}
+    assert sorted(r.doc_id or 0 for r in found) == [0, 2, 3, 4, 5, 5], "one result for each row"
+    assert got[5].fingerprint == got[2].fingerprint and got[None].near_next == 0.0, "rows without id come last"
+    assert got[2].edited_sha256 == hashlib.sha256(b"a ax").hexdigest(), "one half of the last document, which is one sign"
+    assert got[None].edited_sha256 == hashlib.sha256(b"x").hexdigest()
     assert (got[4].near_next, got[4].near_edited, got[5].near_next) == (1.0, 1.0, 0.0)
     assert weighted_sampling.fingerprints(docs((1, "lone text"))).first().near_next == 1.0
     assert weighted_sampling.fingerprints(docs()).count() == 0
 
 
+def test_fingerprints_of_several_texts_under_one_id(docs):
+    df = docs((7, "one two three four"), (7, "five six"), (None, "seven eight"), (None, "nine"), (None, "nine"), (8, "one two three four"))
+    found = weighted_sampling.fingerprints(df, samples=16).collect()
+    assert Counter((r.doc_id, r.n_chars) for r in found) == {(7, 18): 1, (7, 8): 1, (None, 11): 1, (None, 4): 2, (8, 18): 1}
+    by = defaultdict(set)
+    for r in found:
+        by[r.n_chars].add(r.fingerprint)
+    assert len(by[18]) == 1 and len({f for v in by.values() for f in v}) == 4
+
+
 def test_raking_matches_the_margins(spark):
     cells = [("a", "x", "p", 100), ("a", "y", "q", 300), ("b", "x", "q", 50), ("b", "y", "p", 550)]
     df = spark.createDataFrame(cells, "_source string, _lang string, _topic string, tokens bigint")
