@@ -16,28 +16,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from nestloom.llm.common import materialize, partitions
 
 SAMPLES = 64
-_AT_ONCE = 8  # samples drawn in one pass over a term; more make code too large for the JVM to compile
+_AT_ONCE = 4  # samples drawn in one pass over a term; more make code too large for the JVM to compile
 _LAST = -(1 << 63)  # where rows without id stand in the order
 _STEP = 10_000
 _BITS = 28  # bits that tell a drawn (term, weight) pair from others
 
 
-def _draw(term: Column, log_weight: Column, sample: Column) -> Column:
-    """Rank of a term in one sample above, the drawn pair's hash below: the least one is the draw."""
-    h = F.xxhash64(term, sample)
-
-    def uniform(skip: int, bits: int) -> Column:
-        return (F.shiftrightunsigned(h, skip).bitwiseAND(F.lit((1 << bits) - 1)) + 0.5) / float(1 << bits)
-
-    r = -F.log(uniform(50, 14) * uniform(37, 13))  # gamma(2, 1)
-    c = -F.log(uniform(23, 14) * uniform(10, 13))  # gamma(2, 1)
-    b = uniform(0, 10)
-    t = F.floor(log_weight / r + b)
-    rank = F.log(c) - r * (t - b + 1)
-    pair = F.xxhash64(term, t).bitwiseAND(F.lit((1 << _BITS) - 1))
-    return F.shiftleft(F.floor((rank + 128) * float(1 << 24)), _BITS).bitwiseOR(pair)
-
-
 def terms(text: Column) -> Column:
     """Runs of characters other than space, tab, line feed and carriage return; may hold empty strings."""
     for sign in ("\n", "\t", "\r"):
@@ -45,20 +29,52 @@ def terms(text: Column) -> Column:
     return F.split(text, " ")
 
 
-def signatures(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``signature`` (an array of ints) of ``texts(keys, text)``; a text without terms has no row.
+def signatures(texts: DataFrame, keys: list[str], columns: list[str], samples: int = SAMPLES) -> DataFrame:
+    """``keys`` and an array of ints ``signature_<column>`` for each text column; null for a text without terms.
 
-    Needs no shuffle if the rows are already dealt by one of the keys.
+    What a sample draws of a term, apart from its weight, is worked out once for all texts of a row, so terms that
+    they share cost little more than terms of one. Rows without any terms are left out. Needs no shuffle if the
+    rows are already dealt by one of the keys.
     """
-    words = texts.select(*keys, F.explode(terms(F.col("text"))).alias("word")).where("word <> ''")
-    weights = words.groupBy(*keys, F.xxhash64("word").alias("term")).count()
-    weights = weights.withColumn("log_weight", F.log("count"))
-    blocks = weights.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(_AT_ONCE))))
-    draws = [_draw(F.col("term"), F.col("log_weight"), F.col("block") + k) for k in range(_AT_ONCE)]
-    drawn = blocks.groupBy(*keys, "block").agg(*[F.min(d).alias(f"s{k}") for k, d in enumerate(draws)])
-    pairs = F.array(*[F.col(f"s{k}").bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int") for k in range(_AT_ONCE)])
-    whole = drawn.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block", pairs.alias("pairs")))).alias("all"))
-    return whole.select(*keys, F.slice(F.flatten(F.col("all.pairs")), 1, samples).alias("signature"))
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("text")) for i, c in enumerate(columns)])
+    words = texts.select(*keys, F.explode(sides).alias("v")).select(*keys, "v.side", F.explode(terms(F.col("v.text"))).alias("word")).where("word <> ''")
+    counts = [F.count_if(F.col("side") == i).alias(f"w{i}") for i in range(len(columns))]
+    weights = words.groupBy(*keys, F.xxhash64("word").alias("term")).agg(*counts)
+    # the logarithm of 0 is null, and so is all that comes of it: such a term is not drawn
+    logs = [f"log{i}" for i in range(len(columns))]
+    rows = weights.select(*keys, "term", *[F.log(f"w{i}").alias(c) for i, c in enumerate(logs)])
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(_AT_ONCE))))
+    at_once = range(_AT_ONCE)
+
+    def uniform(k: int, skip: int, bits: int) -> Column:
+        return (F.shiftrightunsigned(f"h{k}", skip).bitwiseAND(F.lit((1 << bits) - 1)) + 0.5) / float(1 << bits)
+
+    rows = rows.select(*keys, "block", *logs, *[F.xxhash64("term", F.col("block") + k).alias(f"h{k}") for k in at_once])
+    made = []
+    for k in at_once:
+        r = -F.log(uniform(k, 50, 14) * uniform(k, 37, 13))  # gamma(2, 1)
+        c = -F.log(uniform(k, 23, 14) * uniform(k, 10, 13))  # gamma(2, 1)
+        made += [F.col(f"h{k}"), r.alias(f"r{k}"), F.log(c).alias(f"c{k}"), uniform(k, 0, 10).alias(f"b{k}")]
+    rows = rows.select(*keys, "block", *logs, *made)
+    steps = [F.floor(F.col(c) / F.col(f"r{k}") + F.col(f"b{k}")).alias(f"t{k}_{i}") for k in at_once for i, c in enumerate(logs)]
+    rows = rows.select(*keys, "block", *[f"{x}{k}" for k in at_once for x in "hrcb"], *steps)
+
+    def draw(k: int, i: int) -> Column:
+        """Rank of a term in one sample above, the drawn pair below: the least one is the draw."""
+        t = F.col(f"t{k}_{i}")
+        rank = F.col(f"c{k}") - F.col(f"r{k}") * (t - F.col(f"b{k}") + 1)
+        pair = F.col(f"h{k}").bitwiseXOR(t).bitwiseAND(F.lit((1 << _BITS) - 1))
+        return F.shiftleft(F.floor((rank + 128) * float(1 << 24)), _BITS).bitwiseOR(pair)
+
+    drawn = rows.groupBy(*keys, "block").agg(*[F.min(draw(k, i)).alias(f"s{k}_{i}") for k in at_once for i in range(len(columns))])
+    drop = F.lit((1 << _BITS) - 1)
+    pairs = [F.array(*[F.col(f"s{k}_{i}").bitwiseAND(drop).cast("int") for k in at_once]).alias(f"p{i}") for i in range(len(columns))]
+    whole = drawn.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block", *pairs))).alias("all"))
+    found = []
+    for i, c in enumerate(columns):
+        signature = F.slice(F.flatten(F.col(f"all.p{i}")), 1, samples)
+        found.append(F.when(signature[0].isNotNull(), signature).alias(f"signature_{c}"))
+    return whole.select(*keys, *found)
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -120,14 +136,10 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id"
     both = base.join(given.repartition(4 * parts, *node), node).select(*node, "unnamed", "text", n.alias("n"), "start")
     both = both.select(*node, "unnamed", "text", "n", F.expr("concat(left(text, n - n div 2), left(start, n div 2))").alias("edited"))
 
-    pair = both.select(*node, F.explode(F.array(F.struct(F.lit(0).alias("edit"), "text"), F.struct(F.lit(1).alias("edit"), F.col("edited").alias("text")))).alias("v"))
-    drawn = signatures(pair.select(*node, "v.edit", "v.text"), [*node, "edit"], samples)
+    drawn = signatures(both.select(*node, "text", "edited"), node, ["text", "edited"], samples)
     none = F.array_repeat(F.lit(-1), samples)
-    drawn = drawn.groupBy(*node).agg(
-        F.first(F.when(F.col("edit") == 0, F.col("signature")), True).alias("own"), F.first(F.when(F.col("edit") == 1, F.col("signature")), True).alias("changed")
-    )
     facts = both.select(*node, "unnamed", "n", F.sha2("edited", 256).alias("sha"))
-    found = facts.join(drawn, node, "left").select(*node, "unnamed", "n", "sha", F.coalesce("own", none).alias("own"), F.coalesce("changed", none).alias("changed"))
+    found = facts.join(drawn, node, "left").select(*node, "unnamed", "n", "sha", F.coalesce("signature_text", none).alias("own"), F.coalesce("signature_edited", none).alias("changed"))
     found = materialize(found, "signatures")
 
     after = order.select(F.col("next.id").alias("id"), F.col("next.h").alias("h"), F.struct("id", "h", "copies").alias("of")).join(found.select(*node, "own"), node)
