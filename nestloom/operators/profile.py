@@ -9,15 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from nestloom.functions.items import percentage
 from nestloom.sources.tables import union_all
 
-# Longer texts are told apart by digest, so the shuffle carries a bounded value.
-LONGEST_PLAIN_TEXT = 64
-
-
 def _comparable(c: Column, dtype: T.DataType) -> Column:
-    """What tells two values apart: the value itself, or a digest for long text and nested values."""
+    """What tells two values apart: the value itself, or a digest of bounded size for texts and nested values."""
     if isinstance(dtype, T.StringType):
-        digest = F.concat(F.lit("#"), F.sha2(c, 256))
-        return F.when(F.octet_length(c) > LONGEST_PLAIN_TEXT, digest).otherwise(c)
+        return F.unhex(F.sha2(c, 256))
     if isinstance(dtype, T.AtomicType):
         return c
     return F.when(c.isNotNull(), F.sha2(F.to_json(F.struct(c.alias("v"))), 256))
@@ -115,6 +110,74 @@ def profile(
     )
 
 
+SKETCH_BITS = 14  # an estimate's standard error is about 0.8 %, a sketch at most 16 KB
+
+
+def partial_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per column of what can be merged later: counts, sums, bounds and a sketch of the distinct values.
+
+    One aggregate over one scan; no value leaves its task. Write it next to the rows it describes, such as those
+    of one load. Numeric bounds and sums are doubles. An empty table gives counts of 0 and empty sketches.
+    """
+    entries = []
+    for f in df.schema.fields:
+        if columns is not None and f.name not in columns:
+            continue
+        is_number, is_text = isinstance(f.dataType, T.NumericType), isinstance(f.dataType, T.StringType)
+        c = F.col(f"`{f.name}`")
+        number = c.cast("double") if is_number else F.lit(None).cast("double")
+        size = F.length(c).cast("bigint") if is_text else F.lit(None).cast("bigint")
+        # a sketch passes over empty text, so text gets a sign in front
+        value = F.concat(F.lit("="), c) if is_text else c.cast("string") if isinstance(f.dataType, T.AtomicType) else F.to_json(F.struct(c.alias("v")))
+        entries.append(
+            F.struct(
+                F.lit(f.name).alias("column"),
+                F.lit(f.dataType.simpleString()).alias("type"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.count_if(c.isNull()).alias("null_count"),
+                F.min(number).alias("min_value"),
+                F.max(number).alias("max_value"),
+                F.sum(number).alias("value_sum"),
+                F.min(size).alias("min_length"),
+                F.max(size).alias("max_length"),
+                F.sum(size).alias("length_sum"),
+                F.hll_sketch_agg(F.when(c.isNotNull(), value), F.lit(SKETCH_BITS)).alias("sketch"),
+            )
+        )
+    return df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+
+
+def merge_profiles(parts: DataFrame) -> DataFrame:
+    """Rows of ``partial_profile`` of any number of loads as one row per column; can be merged again.
+
+    What was described before is not read again: the work follows the number of loads and columns.
+    """
+    sums = [F.sum(c).alias(c) for c in ("row_count", "null_count", "value_sum", "length_sum")]
+    bounds = [F.min(c).alias(c) for c in ("min_value", "min_length")] + [F.max(c).alias(c) for c in ("max_value", "max_length")]
+    merged = parts.groupBy("column", "type").agg(*sums, *bounds, F.hll_union_agg("sketch", F.lit(True)).alias("sketch"))
+    return merged.select(parts.columns)
+
+
+def finish_profile(merged: DataFrame, table: str) -> DataFrame:
+    """A merged profile in the columns of ``profile``, with estimated distinct counts and bounds as doubles."""
+    known = F.nullif(F.col("row_count") - F.col("null_count"), F.lit(0))
+    return merged.select(
+        F.lit(table).alias("table"),
+        "column",
+        "type",
+        "row_count",
+        F.hll_sketch_estimate("sketch").alias("distinct_values"),
+        "null_count",
+        percentage(F.col("null_count"), F.col("row_count")).alias("null_percentage"),
+        "min_value",
+        "max_value",
+        (F.col("value_sum") / known).alias("average_value"),
+        "min_length",
+        "max_length",
+        (F.col("length_sum") / known).alias("average_length"),
+    )
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every table; answered from Parquet row counts, no column is read."""
     return union_all(

@@ -610,4 +610,5 @@ FROM orders WHERE o_orderkey % 1009 = 7 OR o_orderkey % 997 = 5 AND o_totalprice
 UNION ALL SELECT -1 - o_orderkey, 'unexpected' FROM orders WHERE o_orderkey % 1013 = 9""",
     }
     found |= {f"profile_{t}": _profile(t) for t in PROFILED}
+    found["profile_two_loads"] = f"SELECT *, true AS estimate_holds FROM ({_profile('lineitem')})"
     return found

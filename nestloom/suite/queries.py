@@ -16,7 +16,7 @@ from nestloom.plans.load import Load, Target
 from nestloom.plans.music_store import CATALOG_INDEXES, CUSTOMER_INDEXES, music_store_targets
 from nestloom.sources import tables as source_tables
 from nestloom.sources.keyed import KeyedTable
-from nestloom.sources.scratch import fingerprint, new_path
+from nestloom.sources.scratch import fingerprint, materialize, new_path
 from nestloom.streaming.feed import apply_feed, file_feed
 from nestloom.suite.roles import Roles
 
@@ -358,6 +358,21 @@ for _name in PROFILED:
     registered(_profile(_name))
 
 
+@registered
+def profile_two_loads(r: Roles) -> DataFrame:
+    """Lines of two loads, profiled apart and merged; the estimates are held against exact distinct counts."""
+    lines, turn = r.table("lineitem"), F.lit("1995-06-17").cast("timestamp")
+    first = materialize(profiles.partial_profile(lines.where(F.col("l_shipdate") < turn)), "profile")
+    second = profiles.partial_profile(lines.where(F.coalesce(F.col("l_shipdate") >= turn, F.lit(True))))
+    merged = profiles.finish_profile(profiles.merge_profiles(first.unionByName(second)), "lineitem")
+    exact = profiles.profile(lines, "lineitem").select("column", F.col("distinct_values").alias("exact"))
+    # four standard errors; below some hundred values a sketch is exact
+    holds = F.abs(F.col("distinct_values") - F.col("exact")) <= 4 * 1.04 / 2 ** (profiles.SKETCH_BITS / 2) * F.col("exact")
+    shown = {c: F.round(c, 2) for c in ("min_value", "max_value", "average_value", "average_length", "null_percentage")}
+    found = merged.join(exact, "column").withColumns(shown).withColumn("estimate_holds", holds)
+    return found.drop("type", "distinct_values").withColumnRenamed("exact", "distinct_values")
+
+
 @registered
 def database_overview(r: Roles) -> DataFrame:
     found = profiles.overview(source_tables.read_tables(r.spark, r.folder))

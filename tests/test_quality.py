@@ -161,3 +161,21 @@ def test_digest_trees_find_what_differs_and_join_no_more(spark):
         joined = old.withColumn("leaf", hash_leaf(["id"]) if leaf is None else leaf).join(leaves, "leaf", "left_semi").count()
         assert joined <= 3 * 256
     assert tree_mismatch(old, old, ["id"]).count() == 0 and tree_mismatch(old.limit(0), old, ["id"]).count() == 20_000
+
+
+def test_profiles_of_loads_are_merged_without_the_rows_of_earlier_ones(rows):
+    schema = "i int, s string, a array<int>, d double"
+    first = rows(schema, (1, "a", [1], 0.5), (2, None, [1], None), (2, "long text " * 20, None, None))
+    second = rows(schema, (3, "a", [2], 1.5), (None, "", [1, 2], None))
+    parts = [profiles.partial_profile(x) for x in (first, second, rows(schema))]
+    merged = profiles.merge_profiles(parts[0].unionByName(parts[1]))
+    again = profiles.merge_profiles(merged.unionByName(parts[2]))
+    both = first.unionByName(second)
+    for found in (profiles.finish_profile(merged, "t"), profiles.finish_profile(again, "t")):
+        got, want = by(found, "column"), by(profiles.profile(both, "t"), "column")
+        for c, w in want.items():
+            same = ("row_count", "null_count", "distinct_values", "null_percentage", "average_value", "min_length", "max_length", "average_length")
+            assert [got[c][k] for k in same] == [w[k] for k in same], c
+            assert got[c].max_value == (None if w.max_value is None else float(w.max_value))
+    empty = by(profiles.finish_profile(profiles.merge_profiles(parts[2]), "t"), "column")["i"]
+    assert (empty.row_count, empty.distinct_values, empty.average_value) == (0, 0, None)
