@@ -1,6 +1,7 @@
 """Mixing sources to target weights by iterative proportional fitting (operator 8). DataFrame functions only.
 
-Documents are counted into cells of source, language and topic, each with its tokens (words). Raking scales
+Documents are counted into cells of source, language and topic, each with its tokens (bytes of UTF-8, the tokens
+of a byte vocabulary, unless another count is given). Raking scales
 the cells in turn so that the sums over each of the three match their targets; the factors of each margin are
 small written tables, and each step is one pass over the cells. The targets share out a wanted number of tokens.
 No cell gives more than it has: where it is asked for more it is kept whole, and the others make up for it, so
@@ -15,7 +16,6 @@ import warnings
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nestloom.llm.common import materialize
-from nestloom.llm.weighted_sampling import terms
 
 MARGINS = ("source", "lang", "topic")
 ROUNDS, CLOSE = 30, 1e-3
@@ -41,12 +41,14 @@ def topic(text: Column) -> Column:
     return found
 
 
-def cells(docs: DataFrame, topics: Column | None, text_col: str = "text") -> DataFrame:
-    """Documents with ``_source``, ``_lang``, ``_topic`` (null: empty text) and ``_tokens``, all at least 1."""
+def cells(docs: DataFrame, topics: Column | None, text_col: str = "text", tokens: Column | None = None) -> DataFrame:
+    """``_row`` (all columns of a document), ``_source``, ``_lang``, ``_topic`` (null: empty text) and ``_tokens``, at least 1."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    named = {m: F.coalesce(F.col(f"`{m}`").cast("string"), F.lit("")) for m in MARGINS[:2]}
-    tokens = F.greatest(F.lit(1), F.size(F.array_remove(terms(text), ""))).cast("bigint")
-    return docs.withColumns({f"_{m}": c for m, c in named.items()} | {"_topic": topic(text) if topics is None else topics, "_tokens": tokens})
+    named = [F.coalesce(F.col(f"`{m}`").cast("string"), F.lit("")).alias(f"_{m}") for m in MARGINS[:2]]
+    named.append(F.coalesce(topic(text) if topics is None else topics, F.lit("")).alias("_topic"))
+    size = F.octet_length(text) if tokens is None else F.coalesce(tokens, F.lit(1))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    return docs.select(whole, *named, F.greatest(F.lit(1), size).cast("bigint").alias("_tokens"))
 
 
 def tempered(counts: DataFrame, margin: str, power: float) -> DataFrame:
@@ -75,7 +77,7 @@ def attainable(asked: DataFrame) -> DataFrame:
 
 
 def rake(
-    counts: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, close: float = CLOSE, wanted_tokens: float | None = None
+    counts: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, close: float | None = CLOSE, wanted_tokens: float | None = None
 ) -> DataFrame:
     """``counts(_source, _lang, _topic, tokens)`` with ``weight``: token shares that match the targets.
 
@@ -84,8 +86,8 @@ def rake(
     that number and no cell gets more than its tokens: a value with too few is kept whole. ``gap_source``,
     ``gap_lang`` and ``gap_topic`` tell what the row's value of that margin got in relation to its target,
     less 1. Ends when no step of a round is off by more than ``close``, when rounds stop to bring the margins
-    nearer, or after ``rounds``; if a margin then misses by more than ten times ``close`` what each of its
-    values could get, a warning names it.
+    nearer, or after ``rounds``; without ``close`` after ``rounds`` alone, which any engine can repeat. If a margin
+    then misses by more than ten times ``close`` what each of its values could get, a warning names it.
     """
     counts = materialize(counts, "cells")
     whole = counts.agg(F.sum("tokens")).first()[0]
@@ -128,6 +130,8 @@ def rake(
             moved = materialize(moved, "factors")
             factors[m] = moved.drop("off")
             steps.append(moved.select("off"))
+        if close is None:
+            continue
         worst = steps[0].union(steps[1]).union(steps[2]).agg(F.max("off")).first()[0] or 0.0
         stuck = stuck + 1 if worst > 0.99 * before else 0
         before = worst
@@ -144,11 +148,17 @@ def rake(
         missed.append(got.select(F.lit(m).alias("margin"), "off"))
         found = found.join(got.drop("off"), f"_{m}")
     worst = {r["margin"]: r["off"] for r in missed[0].union(missed[1]).union(missed[2]).groupBy("margin").agg(F.max("off").alias("off")).collect()}
-    if any(v > 10 * close for v in worst.values()):
+    if any(v > 10 * (close or CLOSE) for v in worst.values()):
         warnings.warn("targets contradict or are not reached; largest miss: " + ", ".join(f"{m} {worst[m]:.1%}" for m in MARGINS), stacklevel=2)
     return found.select(*_keys(), "tokens", "weight", *[f"gap_{m}" for m in MARGINS])
 
 
+def draw(identifier: Column, text: Column, seed: int) -> Column:
+    """A number from 0 to 1 (not included) by a digest of seed, id and text, which any engine can repeat."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(identifier.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(digest, 1, 10), 16, 10).cast("bigint") / F.lit(float(1 << 40))
+
+
 def mix(
     docs: DataFrame,
     targets: dict[str, DataFrame] | None = None,
@@ -158,32 +168,42 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     wanted_tokens: float | None = None,
+    tokens: Column | None = None,
+    keep: float = KEEP,
+    rounds: int = ROUNDS,
+    close: float | None = CLOSE,
 ) -> DataFrame:
-    """Every row with ``source``, ``lang`` and ``topic`` as counted, ``tokens``, ``probability``, ``kept``, the gaps and its columns.
-
-    Without ``targets`` the margins' own token shares to ``power`` are the targets, and without
-    ``wanted_tokens`` a share of ``KEEP`` of all tokens is wanted. The probability of a cell is the part of
-    its tokens that its raked weight takes, 1 at most; ``gap_source``, ``gap_lang`` and ``gap_topic`` are those
-    of ``rake`` for the row's values. A hash of id, text
-    and ``seed`` decides, so equal rows are decided alike. Null source, language or text counts as empty;
-    an empty text counts as one token. An empty table gives no rows. Added columns start with ``mix_``.
+    """Every row with its columns and ``mix_topic``, ``mix_tokens``, ``mix_probability``, ``mix_gap_*`` and ``mix_kept``.
+
+    Without ``targets`` (or for a margin they leave out) the margin's own token shares to ``power`` are the
+    targets, and without ``wanted_tokens`` a share of ``keep`` of all tokens is wanted. ``topics`` and
+    ``tokens`` take the place of the patterns and of the bytes of a text. The probability of a cell is the
+    part of its tokens that its raked weight takes, 1 at most; ``mix_gap_source``, ``mix_gap_lang`` and
+    ``mix_gap_topic`` are those of ``rake`` for the row's values. ``draw`` decides, so equal rows are decided
+    alike. Null source, language, topic or text counts as empty; an empty text counts as one token. An empty
+    table gives no rows. All other columns stay, whatever they are called; one that is called as an added one
+    gives way to it.
     """
-    counted = cells(docs, topics, text_col)
+    counted = cells(docs, topics, text_col, tokens)
     keys = _keys()
     counts = materialize(counted.groupBy(*keys).agg(F.sum("_tokens").alias("tokens")), "counts")
-    goals = targets or {m: tempered(counts, m, power) for m in MARGINS}
+    goals = {m: (targets or {}).get(m) for m in MARGINS}
+    goals = {m: tempered(counts, m, power) if t is None else t for m, t in goals.items()}
     whole = counts.agg(F.sum("tokens")).first()[0] or 0
-    wanted = KEEP * whole if wanted_tokens is None else min(wanted_tokens, whole) if whole else wanted_tokens
-    raked = materialize(rake(counts, goals, wanted_tokens=wanted), "raked")
+    wanted = keep * whole if wanted_tokens is None else min(wanted_tokens, whole) if whole else wanted_tokens
+    raked = materialize(rake(counts, goals, rounds, close, wanted_tokens=wanted), "raked")
     chances = raked.select(
         *keys,
-        F.least(F.lit(1.0), F.col("weight") * F.lit(float(wanted)) / F.col("tokens")).alias("mix_probability"),
-        *[F.col(f"gap_{m}").alias(f"mix_gap_{m}") for m in MARGINS],
-    )
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), F.lit(1 << 40)) / float(1 << 40)
-    return (
-        counted.join(chances, keys)
-        .withColumn("mix_kept", draw < F.col("mix_probability"))
-        .withColumnsRenamed({"_topic": "mix_topic", "_tokens": "mix_tokens"})
-        .drop("_source", "_lang")
+        F.least(F.lit(1.0), F.col("weight") * F.lit(float(wanted)) / F.col("tokens")).alias("_chance"),
+        *[F.col(f"gap_{m}").alias(f"_gap_{m}") for m in MARGINS],
     )
+    chosen = draw(F.col(f"_row.`{id_col}`"), F.col(f"_row.`{text_col}`"), seed) < F.col("_chance")
+    added = {
+        "mix_topic": F.col("_topic"),
+        "mix_tokens": F.col("_tokens"),
+        "mix_probability": F.col("_chance"),
+        **{f"mix_gap_{m}": F.col(f"_gap_{m}") for m in MARGINS},
+        "mix_kept": chosen,
+    }
+    own = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c.lower() not in added]
+    return counted.join(chances, keys).select(*own, *[c.alias(n) for n, c in added.items()])

@@ -1,4 +1,4 @@
-"""SQL counterparts of the operators 11 to 13."""
+"""SQL counterparts of the operators 8 and 11 to 13."""
 
 from __future__ import annotations
 
@@ -102,3 +102,58 @@ PAGE_TEXT = r"""
     d AS (SELECT page_id, url, i, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(line, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS line FROM c),
     e AS (SELECT page_id, url, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (line <> ''), '') AS text FROM d GROUP BY page_id, url)
     SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM e"""
+
+
+_ADDRESS, _NUMBER = r"[\w.+-]+@[\w-]+\.\w+", r"\+?\d[\d ()./-]{8,}\d"
+_TOPIC = rf"""CASE WHEN regexp_matches(x, '(?i)\b(licen[sc]ed?|copyright|warrant(y|ies)|all rights reserved)\b') THEN 'legal'
+      WHEN (contains(x, '@') AND regexp_matches(x, '{_ADDRESS}')) OR regexp_matches(x, '{_NUMBER}') THEN 'contact'
+      WHEN regexp_matches(x, '</?[a-z]+[^<>]*>|[{{}};]\s*\n| \| ') THEN 'markup' ELSE 'prose' END"""
+
+
+def mixing_sql(shares: dict[str, dict[str, float]], keep: float, rounds: int, seed: int) -> str:
+    """Raking written out, one table for each step; goals that a value can't reach are levelled by one running sum."""
+    tables = [
+        f"""d AS MATERIALIZED (
+          SELECT doc_id, source AS src, lang AS lng, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {_TOPIC} AS topic,
+            greatest(1, strlen(x)) AS tokens,
+            CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || x), 1, 10) AS BIGINT) / 1099511627776.0 AS draw
+          FROM (SELECT *, coalesce(text, '') AS x FROM documents))""",
+        "cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM d GROUP BY ALL)",
+        "whole AS MATERIALIZED (SELECT sum(tokens) AS whole FROM cells)",
+    ]
+    for m in ("source", "lang", "topic"):
+        given = ", ".join(f"('{v}', {w})" for v, w in shares.get(m, {}).items())
+        wanted = f"(VALUES {given}) AS g({m}, target)" if given else f"(SELECT DISTINCT {m}, 1.0 AS target FROM cells) AS g"
+        tables += [
+            f"""asked_{m} AS MATERIALIZED (
+              SELECT {m}, goal / sum(goal) OVER () AS goal, most FROM (
+                SELECT {m}, CAST(coalesce(max(target), sum(tokens) / max(whole)) AS DOUBLE) AS goal, sum(tokens) / ({keep} * max(whole)) AS most
+                FROM cells LEFT JOIN {wanted} USING ({m}), whole GROUP BY {m}))""",
+            # the values in the order in which growing goals reach what there is; growth after each of them is whole
+            f"""grown_{m} AS MATERIALIZED (
+              SELECT *, (1 - coalesce(sum(most) OVER before, 0)) / sum(goal) OVER rest AS growth FROM asked_{m}
+              WINDOW before AS (ORDER BY most / goal, {m} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                rest AS (ORDER BY most / goal, {m} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))""",
+            f"""goal_{m} AS MATERIALIZED (
+              SELECT {m}, least(most, goal * (SELECT max(growth) FROM grown_{m} WHERE growth <= most / goal)) AS goal FROM grown_{m})""",
+            f"{m}0 AS MATERIALIZED (SELECT {m}, CAST(1 AS DOUBLE) AS f_{m} FROM asked_{m})",
+        ]
+    now = {"source": "source0", "lang": "lang0", "topic": "topic0"}
+
+    def weighted() -> str:
+        joined = " ".join(f"JOIN {t} USING ({m})" for m, t in now.items())
+        free = "tokens / whole * f_source * f_lang * f_topic"
+        return f"(SELECT *, least(free, most) AS weight FROM (SELECT *, {free} AS free, tokens / ({keep} * whole) AS most FROM cells {joined}, whole))"
+
+    for n in range(1, rounds + 1):
+        for m in now:
+            tables.append(f"""{m}{n} AS MATERIALIZED (
+              SELECT {m}, f * CASE WHEN w <= 0 THEN 1 WHEN w - whole_ones > 1e-12 * w AND goal > whole_ones THEN (goal - whole_ones) / (w - whole_ones)
+                  WHEN w - whole_ones <= 1e-12 * w AND goal >= whole_ones THEN 1 ELSE goal / w END AS f_{m}
+              FROM (SELECT {m}, sum(weight) AS w, sum(CASE WHEN free >= most THEN most ELSE 0 END) AS whole_ones, any_value(f_{m}) AS f
+                FROM {weighted()} GROUP BY {m}) JOIN goal_{m} USING ({m}))""")
+            now[m] = f"{m}{n}"
+    return f"""WITH {", ".join(tables)},
+        p AS MATERIALIZED (SELECT source, lang, topic, least(1.0, weight * {keep} * whole / tokens) AS p FROM {weighted()})
+        SELECT doc_id, src AS source, lng AS lang, topic, CAST(tokens AS BIGINT) AS tokens, round(p, 6) AS probability, draw < p AS kept
+        FROM d JOIN p USING (source, lang, topic)"""

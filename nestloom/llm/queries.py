@@ -65,8 +65,18 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints(documents(spark, sf_dir))
 
 
+MIX_SHARES = {  # what the mixture is wanted to hold; sources are wanted alike
+    "lang": {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15},
+    "topic": {"prose": 0.6, "legal": 0.1, "contact": 0.1, "markup": 0.2},
+}
+MIX_KEEP, MIX_ROUNDS, MIX_SEED = 0.5, 6, 17
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    targets = {m: spark.createDataFrame([*shares.items()], f"_{m} string, target double") for m, shares in MIX_SHARES.items()}
+    targets["source"] = docs.select(F.coalesce("source", F.lit("")).alias("_source")).distinct().withColumn("target", F.lit(1.0))
+    mixed = mixing.mix(docs, targets, seed=MIX_SEED, keep=MIX_KEEP, rounds=MIX_ROUNDS, close=None)
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"), F.round("mix_probability", 6).alias("probability"), F.col("mix_kept").alias("kept"))
 
 
@@ -146,6 +156,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM n WINDOW g AS (PARTITION BY norm)""",
+    "op8_mixing": oracles.mixing_sql(MIX_SHARES, MIX_KEEP, MIX_ROUNDS, MIX_SEED),
     "op11_ranked_search": oracles.RANKED_SEARCH,
     "op12_turn_repair": oracles.TURN_REPAIR,
     "op13_page_text": oracles.PAGE_TEXT,

@@ -260,6 +260,27 @@ def test_mixing_keeps_rows_and_decides_by_probability(docs, small):
     assert abs(mixed[0] - mixed[1]) < 4 * np.sqrt(mixed[1])
 
 
+def test_mixing_keeps_the_columns_of_the_caller(docs):
+    df = docs((1, "a b"), (2, "c" * 2_000_000), (3, ""))
+    for name in ("_source", "_lang", "_topic", "_tokens", "_row", "_chance", "tokens", "weight", "a b.c"):
+        df = df.withColumn(name, F.lit("own"))
+    got = mixing.mix(df.withColumn("mix_probability", F.lit("own"))).collect()
+    assert {r.doc_id: r.mix_tokens for r in got} == {1: 3, 2: 2_000_000, 3: 1}
+    assert all(r[c] == "own" for r in got for c in ("_source", "_lang", "_topic", "_tokens", "_row", "_chance", "tokens", "weight", "a b.c"))
+    assert all(isinstance(r.mix_probability, float) for r in got), "an added column replaces one of its name"
+
+
+def test_mixing_with_given_topics_tokens_and_targets(spark, docs):
+    df = docs(*[(i, f"text {i}") for i in range(400)]).withColumn("topic", F.when(F.col("doc_id") < 100, "t").otherwise("u"))
+    goal = {"topic": spark.createDataFrame([("t", 0.5), ("u", 0.5)], "_topic string, target double")}
+    got = mixing.mix(df, goal, topics=F.col("topic"), tokens=F.lit(10), wanted_tokens=1000, rounds=6, close=None).collect()
+    sums = Counter()
+    for r in got:
+        assert r.mix_tokens == 10 and r.mix_topic == r.topic
+        sums[r.topic] += r.mix_probability * r.mix_tokens
+    assert abs(sums["t"] - 500) < 1 and abs(sums["u"] - 500) < 1
+
+
 def test_mixing_keeps_rare_values_whole_and_the_rest_as_before(spark, docs):
     hot = [(i, f"common words {i} " * 20) for i in range(600)]
     source = F.when(F.col("doc_id") < 300, "hot").otherwise(F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")))
