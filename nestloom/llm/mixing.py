@@ -2,8 +2,8 @@
 
 Documents are counted into cells of source, language and topic, each with its tokens (bytes of UTF-8, the tokens
 of a byte vocabulary, unless another count is given). Raking scales
-the cells in turn so that the sums over each of the three match their targets; the factors of each margin are
-small written tables, and each step is one pass over the cells. The targets share out a wanted number of tokens.
+the cells in turn so that the sums over each of the three match their targets; the cells are written once
+a round, and each step is one pass over them. The targets share out a wanted number of tokens.
 No cell gives more than it has: where it is asked for more it is kept whole, and the others make up for it, so
 a rare value takes nothing from the rest. A document's probability is the part of its cell's tokens that is
 wanted, and a hash of the document decides. What cannot be reached is returned with each row and warned of.
@@ -19,6 +19,7 @@ from nestloom.llm.common import materialize
 
 MARGINS = ("source", "lang", "topic")
 ROUNDS, CLOSE = 30, 1e-3
+_NEAR = 1e-9  # what counts as equal, so that the last digits of sums decide nothing
 KEEP = 0.65  # share of all tokens that is wanted if no number is given
 
 # fixed values: what the texts of a topic look like
@@ -89,7 +90,6 @@ def rake(
     nearer, or after ``rounds``; without ``close`` after ``rounds`` alone, which any engine can repeat. If a margin
     then misses by more than ten times ``close`` what each of its values could get, a warning names it.
     """
-    counts = materialize(counts, "cells")
     whole = counts.agg(F.sum("tokens")).first()[0]
     if not whole:
         return counts.withColumns({"weight": F.lit(0.0)} | {f"gap{m}": F.lit(0.0) for m in _keys()})
@@ -97,58 +97,52 @@ def rake(
     if wanted_tokens is not None and wanted_tokens <= 0:
         raise ValueError("wanted_tokens has to be positive")
     most = F.lit(float("inf")) if wanted_tokens is None else F.col("tokens") / wanted_tokens
-    wanted, factors = {}, {}
+    state = counts.select(*_keys(), "tokens", (F.col("tokens") / whole).alias("free"), most.alias("most"))
     for m in MARGINS:
         own = counts.groupBy(f"_{m}").agg(F.sum("tokens").alias("tokens"))
         joined = own.join(targets[m], f"_{m}", "left").select(f"_{m}", F.coalesce("target", F.col("tokens") / whole).alias("goal"), most.alias("most"))
+        joined = materialize(joined, "goals")
         total = joined.agg(F.sum("goal")).first()[0]
-        asked = materialize(joined.select(f"_{m}", (F.col("goal") / total).alias("asked"), (F.col("goal") / total).alias("goal"), "most"), "asked")
-        wanted[m] = asked if wanted_tokens is None else materialize(attainable(asked), "goals")
-        factors[m] = wanted[m].select(f"_{m}", F.lit(1.0).alias(f"f_{m}"))
-
-    def weighted() -> DataFrame:
-        out = counts
-        for m in MARGINS:
-            out = out.join(factors[m], f"_{m}")
-        out = out.withColumns({"free": F.col("tokens") / whole * F.col("f_source") * F.col("f_lang") * F.col("f_topic"), "most": most})
-        return out.withColumn("weight", F.least("free", "most"))
+        asked = joined.select(f"_{m}", (F.col("goal") / total).alias("asked"), (F.col("goal") / total).alias("goal"), "most")
+        goals = asked if wanted_tokens is None else attainable(asked)
+        state = state.join(goals.select(f"_{m}", F.col("asked").alias(f"asked_{m}"), F.col("goal").alias(f"goal_{m}")), f"_{m}")
+    state = materialize(state, "cells")
 
+    weight = F.least("free", "most")
     before, stuck = float("inf"), 0
     for _ in range(rounds):
-        steps = []
+        # a round is one plan: each step adds up a margin, and its factors go back to the cells
+        moved, off = state, []
         for m in MARGINS:
-            capped = F.col("free") >= F.col("most")
-            now = weighted().groupBy(f"_{m}").agg(
-                F.sum("weight").alias("w"), F.sum(F.when(capped, F.col("most")).otherwise(F.lit(0.0))).alias("full"), F.first(f"f_{m}").alias("f")
-            )
-            rest, missing = F.col("w") - F.col("full"), F.col("goal") - F.col("full")
+            full = F.sum(F.when(F.col("free") >= F.col("most") * (1 - _NEAR), F.col("most")).otherwise(F.lit(0.0)))
+            now = moved.groupBy(f"_{m}").agg(F.sum(weight).alias("w"), full.alias("full"), F.first(f"goal_{m}").alias("goal"))
+            rest, missing, near = F.col("w") - F.col("full"), F.col("goal") - F.col("full"), _NEAR * F.col("goal")
             # whole cells stay as they are and the others share the rest, unless the whole ones alone are too much
-            step = F.when(F.col("w") <= 0, F.lit(1.0)).when((rest > 1e-12 * F.col("w")) & (missing > 0), missing / rest)
-            step = step.when((rest <= 1e-12 * F.col("w")) & (missing >= 0), F.lit(1.0)).otherwise(F.col("goal") / F.col("w"))
-            off = F.when(F.col("w") > 0, F.abs(F.col("goal") - F.col("w")) / F.greatest("w", "goal")).otherwise(F.lit(0.0))
-            moved = now.join(wanted[m], f"_{m}").select(f"_{m}", (F.col("f") * step).alias(f"f_{m}"), off.alias("off"))
-            moved = materialize(moved, "factors")
-            factors[m] = moved.drop("off")
-            steps.append(moved.select("off"))
+            step = F.when(F.col("w") <= 0, F.lit(1.0)).when((rest > _NEAR * F.col("w")) & (missing > near), missing / rest)
+            step = step.when((rest <= _NEAR * F.col("w")) & (missing >= -near), F.lit(1.0)).otherwise(F.col("goal") / F.col("w"))
+            miss = F.when(F.col("w") > 0, F.abs(F.col("goal") - F.col("w")) / F.greatest("w", "goal")).otherwise(F.lit(0.0))
+            moved = moved.join(now.select(f"_{m}", step.alias("step"), miss.alias(f"off_{m}")), f"_{m}")
+            moved = moved.withColumn("free", F.col("free") * F.col("step")).drop("step")
+            off.append(f"off_{m}")
+        moved = materialize(moved, "cells")
+        state = moved.drop(*off)
         if close is None:
             continue
-        worst = steps[0].union(steps[1]).union(steps[2]).agg(F.max("off")).first()[0] or 0.0
+        worst = moved.agg(F.max(F.greatest(*off))).first()[0] or 0.0
         stuck = stuck + 1 if worst > 0.99 * before else 0
         before = worst
         if worst <= close or stuck == 3:
             break
 
-    out, missed = materialize(weighted().select(*_keys(), "tokens", "weight"), "weights"), []
-    found = out
+    found = state = state.withColumn("weight", weight)
     for m in MARGINS:
-        got = out.groupBy(f"_{m}").agg(F.sum("weight").alias("w")).join(wanted[m], f"_{m}")
+        got = state.groupBy(f"_{m}").agg(F.sum("weight").alias("w"), F.first(f"asked_{m}").alias("asked"), F.first(f"goal_{m}").alias("goal"))
         gap = F.when(F.col("asked") > 0, F.col("w") / F.col("asked") - 1).otherwise(F.lit(0.0))
         off = F.when(F.col("goal") > 0, F.abs(F.col("w") / F.col("goal") - 1)).otherwise(F.lit(0.0))
-        got = materialize(got.select(f"_{m}", gap.alias(f"gap_{m}"), off.alias("off")), "gaps")
-        missed.append(got.select(F.lit(m).alias("margin"), "off"))
-        found = found.join(got.drop("off"), f"_{m}")
-    worst = {r["margin"]: r["off"] for r in missed[0].union(missed[1]).union(missed[2]).groupBy("margin").agg(F.max("off").alias("off")).collect()}
-    if any(v > 10 * (close or CLOSE) for v in worst.values()):
+        found = found.join(got.select(f"_{m}", gap.alias(f"gap_{m}"), off.alias(f"off_{m}")), f"_{m}")
+    found = materialize(found, "weights")
+    worst = found.agg(*[F.max(f"off_{m}").alias(m) for m in MARGINS]).first()
+    if any(worst[m] > 10 * (close or CLOSE) for m in MARGINS):
         warnings.warn("targets contradict or are not reached; largest miss: " + ", ".join(f"{m} {worst[m]:.1%}" for m in MARGINS), stacklevel=2)
     return found.select(*_keys(), "tokens", "weight", *[f"gap_{m}" for m in MARGINS])
 
@@ -191,7 +185,7 @@ def mix(
     goals = {m: tempered(counts, m, power) if t is None else t for m, t in goals.items()}
     whole = counts.agg(F.sum("tokens")).first()[0] or 0
     wanted = keep * whole if wanted_tokens is None else min(wanted_tokens, whole) if whole else wanted_tokens
-    raked = materialize(rake(counts, goals, rounds, close, wanted_tokens=wanted), "raked")
+    raked = rake(counts, goals, rounds, close, wanted_tokens=wanted)
     chances = raked.select(
         *keys,
         F.least(F.lit(1.0), F.col("weight") * F.lit(float(wanted)) / F.col("tokens")).alias("_chance"),

@@ -148,9 +148,9 @@ def mixing_sql(shares: dict[str, dict[str, float]], keep: float, rounds: int, se
     for n in range(1, rounds + 1):
         for m in now:
             tables.append(f"""{m}{n} AS MATERIALIZED (
-              SELECT {m}, f * CASE WHEN w <= 0 THEN 1 WHEN w - whole_ones > 1e-12 * w AND goal > whole_ones THEN (goal - whole_ones) / (w - whole_ones)
-                  WHEN w - whole_ones <= 1e-12 * w AND goal >= whole_ones THEN 1 ELSE goal / w END AS f_{m}
-              FROM (SELECT {m}, sum(weight) AS w, sum(CASE WHEN free >= most THEN most ELSE 0 END) AS whole_ones, any_value(f_{m}) AS f
+              SELECT {m}, f * CASE WHEN w <= 0 THEN 1 WHEN w - whole_ones > 1e-9 * w AND goal - whole_ones > 1e-9 * goal THEN (goal - whole_ones) / (w - whole_ones)
+                  WHEN w - whole_ones <= 1e-9 * w AND goal - whole_ones >= -1e-9 * goal THEN 1 ELSE goal / w END AS f_{m}
+              FROM (SELECT {m}, sum(weight) AS w, sum(CASE WHEN free >= most * (1 - 1e-9) THEN most ELSE 0 END) AS whole_ones, any_value(f_{m}) AS f
                 FROM {weighted()} GROUP BY {m}) JOIN goal_{m} USING ({m}))""")
             now[m] = f"{m}{n}"
     return f"""WITH {", ".join(tables)},

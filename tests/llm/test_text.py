@@ -260,6 +260,38 @@ def test_mixing_keeps_rows_and_decides_by_probability(docs, small):
     assert abs(mixed[0] - mixed[1]) < 4 * np.sqrt(mixed[1])
 
 
+def raked(sizes, shares, wanted, rounds):
+    """Weights by plain numpy: goals levelled by what there is, then steps over the three margins."""
+    free, most, goals = sizes / sizes.sum(), sizes / wanted, []
+    axes = [tuple(j for j in range(3) if j != k) for k in range(3)]
+    for k in range(3):
+        there, growth = most.sum(axes[k]), 1.0
+        for _ in range(20):
+            full = shares[k] * growth >= there
+            growth = max(growth, (1 - there[full].sum()) / shares[k][~full].sum())
+        goals.append(np.minimum(there, shares[k] * growth))
+    for _ in range(rounds):
+        for k in range(3):
+            w = np.minimum(free, most).sum(axes[k])
+            full = np.where(free >= most * (1 - 1e-9), most, 0).sum(axes[k])
+            step = [(g - f) / (x - f) if x - f > 1e-9 * x and g - f > 1e-9 * g else 1 if x - f <= 1e-9 * x and g - f >= -1e-9 * g else g / x
+                    for x, f, g in zip(w, full, goals[k], strict=True)]
+            free = free * np.expand_dims(step, axes[k])
+    return np.minimum(free, most)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_raking_equals_plain_numpy(spark, seed):
+    sizes = np.random.default_rng(seed).integers(10, 1000, (3, 3, 3))
+    shares = [np.array(x) for x in ([0.5, 0.3, 0.2], [0.2, 0.2, 0.6], [0.4, 0.35, 0.25])]
+    cells = [(*map(str, at), int(n)) for at, n in np.ndenumerate(sizes)]
+    df = spark.createDataFrame(cells, "_source string, _lang string, _topic string, tokens bigint")
+    goals = {m: spark.createDataFrame([(str(i), float(v)) for i, v in enumerate(x)], f"_{m} string, target double") for m, x in zip(mixing.MARGINS, shares, strict=True)}
+    want = raked(sizes, shares, sizes.sum() / 2, 2)
+    for r in mixing.rake(df, goals, rounds=2, close=None, wanted_tokens=float(sizes.sum() / 2)).collect():
+        assert abs(r.weight - want[int(r._source), int(r._lang), int(r._topic)]) < 1e-9
+
+
 def test_mixing_keeps_the_columns_of_the_caller(docs):
     df = docs((1, "a b"), (2, "c" * 2_000_000), (3, ""))
     for name in ("_source", "_lang", "_topic", "_tokens", "_row", "_chance", "tokens", "weight", "a b.c"):
