@@ -67,7 +67,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack_sequences),
 ]
 
-#: Toxicity scores come from a trained model, which SQL can't express; tests compare with brute force.
+#: Toxicity scores come from a trained model, which SQL can't express. Tests compare exact and near copies with brute
+#: force; of the toxicity and mixing stages they check what stays and which columns, of packing that all is placed.
 ORACLE_SQL: str | None = None
 
 
