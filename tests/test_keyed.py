@@ -361,3 +361,30 @@ def test_rejected_items_are_kept_apart_and_counted(spark, scratch):
 def test_control_starts_empty(spark, scratch):
     control = Control(spark, scratch())
     assert control.summary().first().total_tables == 0 and control.errors().count() == 0
+
+
+def test_hot_index_key_is_spread_with_the_buckets(spark, scratch):
+    """All rows under one index key: more slots mean smaller buckets, and every lookup still finds them."""
+    table = KeyedTable(spark, scratch(), ITEM + ", G string", parts=2, buckets=16, indexes={"G": ("G", None)}, index_spread=32)
+    table.overwrite(items(spark, 600).withColumn("G", F.lit("hot")))
+    held = spark.table(table.name).where("_copy = 'G'").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in held) == 600 and max(r["count"] for r in held) < 200 and len(held) > 4
+    assert table.query_index("G", "hot").count() == 600
+    assert table.lookup(spark.createDataFrame([("hot",)], "PK string"), copy="G").count() == 600
+    table.upsert(items(spark, 3).withColumn("G", F.lit("cold")))
+    assert table.query_index("G", "hot").count() == 597 and table.query_index("G", "cold").count() == 3
+
+
+def test_stored_targets_get_buckets_by_input(spark, tmp_path, monkeypatch):
+    """Four times the input, four times the buckets: no task of a build grows with the folder."""
+    from nestloom.suite import queries
+
+    for n in (1, 4):
+        for name in ("customer", "supplier", "orders", "lineitem", "part", "nation", "region"):
+            rows = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+            for i in range(n):
+                rows.write.mode("append").parquet(f"{tmp_path}/{n}/{name}.parquet")
+    monkeypatch.setattr(queries, "BUCKET_BYTES", 4096)
+    small, large = (queries._layout(queries.Roles(spark, f"{tmp_path}/{n}")) for n in (1, 4))
+    assert 4 * small["buckets"] - 4 <= large["buckets"] <= 4 * small["buckets"] and large["index_spread"] > 3 * small["index_spread"]
+    assert small["buckets"] > 8 and queries._catalog_store(queries.Roles(spark, f"{tmp_path}/1")).buckets == small["buckets"]
