@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nestloom.llm.common import materialize, released
 from nestloom.llm.components import components
@@ -71,6 +71,25 @@ def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str, percen
     return rows.mapInArrow(released(hashed), "id bigint, n bigint, sig binary, node bigint, hashes array<bigint>")
 
 
+def _class_hashes(texts: DataFrame, width: int) -> DataFrame:
+    """``node`` and all ``hashes`` of the rows ``(node, text)`` whose set is that node's; several texts may have one id."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher(width)
+        for batch in batches:
+            nodes, kept = [], []
+            for node, hashes in zip(batch.column(0).to_pylist(), hasher.sets(batch.column(1)), strict=True):
+                if int.from_bytes(xxhash.xxh3_128_digest(hashes.tobytes())[:8], "little", signed=True) == node:
+                    nodes.append(node)
+                    kept.append(hashes)
+            lengths = np.cumsum([0, *map(len, kept)])
+            flat = np.concatenate(kept).view(np.int64) if kept else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists], ["node", "hashes"])
+
+    return texts.mapInArrow(released(hashed), "node bigint, hashes array<bigint>")
+
+
 class Trie:
     """Prefix tree over token sequences in one global order, kept flat.
 
@@ -292,18 +311,18 @@ def jaccard_classes(
 
     # hash-order filter over one document of every class of equal sets
     sent = found.join(same.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi").select("node", "n", F.explode("hashes").alias("h"))
-    shared = sent.groupBy("h").count().where("count > 1").select("h")
-    enough = sent.join(shared, "h", "left_semi").groupBy("node").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c"))
+    holders = F.count(F.lit(1)).over(Window.partitionBy("h"))  # counted where the rows lie: they move once
+    shared = sent.withColumn("_docs", holders).where("_docs > 1")
+    enough = shared.groupBy("node").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c"))
     alive = enough.where(f"c >= 1 + {_least(percent)} div 40").select("node")
     alive = materialize(same.join(alive, "node", "left_semi").select("node", F.col("rep").alias("id")), "alive")
 
     # order by rarity
     # the ids grow with the input, so they are never broadcast: one plan for every size
-    texts = plain.join(alive.select("id").hint("merge"), "id", "left_semi")
-    whole = shingle_sets(texts, width, "id", "text", None).join(alive.hint("merge"), ["id", "node"], "left_semi")
-    tokens = materialize(whole.select("node", F.explode("hashes").alias("h")), "tokens")
-    often = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    sets = tokens.join(often, "h").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("docs", "h"))).alias("s"))
+    texts = plain.join(alive.hint("merge"), "id").select("node", "text")
+    tokens = _class_hashes(texts, width).select("node", F.explode("hashes").alias("h"))
+    often = tokens.withColumn("docs", holders).where("docs > 1")
+    sets = often.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("docs", "h"))).alias("s"))
     sets = sets.join(same.select("node", "n"), "node").where(f"size(s) >= {_least(percent)}")
     sets = sets.select(F.col("node").alias("id"), "n", F.col("s.h").alias("tokens"), F.expr(f"slice(s, 1, int(size(s) - {_least(percent)} + 1))").alias("prefix"))
     links = _links(materialize(sets, "ordered"), percent, block)

@@ -92,3 +92,23 @@ def test_suffix_dedup_of_odd_tables(docs):
     long_text = "".join(rng.choice("abcdefg") for _ in range(150))
     got = suffix_dedup.remove_repeats(docs((2, long_text), (2, long_text), (None, long_text), (1, "q"))).collect()
     assert sorted((r.doc_id or 9, r.n_removed) for r in got) == [(1, 0), (2, 0), (2, 0), (9, 150)]
+
+
+def test_ngram_join_moves_every_hash_once_to_count_it(docs, monkeypatch):
+    from nestloom.llm import ngram_join
+
+    plans = {}
+
+    def seen(df, label="cut"):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, label)
+
+    materialize = ngram_join.materialize
+    monkeypatch.setattr(ngram_join, "materialize", seen)
+    text = " ".join(f"w{i}" for i in range(60))
+    table = docs((1, text), (2, text + " more"), (3, "other words " * 9), (1, "quite another text here"))
+    assert {(r.doc_id, r.component_id) for r in ngram_join.jaccard_classes(table).collect()} == {(1, 1), (2, 1), (3, 3)}
+    assert "tokens" not in plans
+    for label in ("alive", "ordered"):
+        assert plans[label].count("hashpartitioning(h#") == 1
+    assert "hashpartitioning(node#" not in plans["ordered"].split("MapInArrow")[-1]  # hashes aren't sent to find their node
