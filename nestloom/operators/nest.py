@@ -122,13 +122,15 @@ def _number_by_range(df: DataFrame, by: list[str], order: list[Column], name: st
     offsets = (
         sliced.groupBy(*by, "_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_before", F.sum("_n").over(before))
+        .where("_before > 0")
         .drop("_n")
     )
+    # in a sorted order only the first group of a slice began in an earlier one: at most one row per slice
     within = Window.partitionBy(*by, "_slice").orderBy(*order)
     return (
-        _join_null_safe(sliced, offsets, [*by, "_slice"], "inner")
-        .withColumn(name, F.row_number().over(within) + F.col("_before"))
+        _join_null_safe(sliced, F.broadcast(offsets), [*by, "_slice"], "left")
+        .withColumn(name, F.row_number().over(within) + F.coalesce("_before", F.lit(0).cast("bigint")))
         .drop("_slice", "_before")
     )
 

@@ -174,3 +174,18 @@ def test_embed_pages_wants_whole_numbers(spark):
     parent, child = spark.createDataFrame([(1,)], "p long"), spark.createDataFrame([(1, "a")], "p long, id string")
     with pytest.raises(ValueError):
         embed_pages(parent, child, "p", ["id"], "id", ["id"], 7, "rows")
+
+
+def test_numbering_sends_offsets_to_the_slices(spark):
+    """Groups over several slices are numbered without another shuffle of the rows, however many groups there are."""
+    rows = spark.range(3000).selectExpr("CASE WHEN id < 2000 THEN NULL ELSE id % 50 END AS k", "id AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = number_rows(rows, "k", ["v"], "rn")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        found = {(r.k, r.v): r.rn for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    want = {(None, v): v + 1 for v in range(2000)} | {(v % 50, v): (v - 2000) // 50 + 1 for v in range(2000, 3000)}
+    assert found == want
