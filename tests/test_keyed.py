@@ -10,6 +10,7 @@ from nestloom.plans.music_store import music_store_targets
 from nestloom.sources.control import Control
 from nestloom.sources.idset import IdSet
 from nestloom.sources.keyed import CheckFailed, KeyedTable
+from nestloom.sources.tables import STAR_SCHEMAS
 
 ITEM = "PK string, SK string, v bigint"
 
@@ -388,3 +389,21 @@ def test_stored_targets_get_buckets_by_input(spark, tmp_path, monkeypatch):
     small, large = (queries._layout(queries.Roles(spark, f"{tmp_path}/{n}")) for n in (1, 4))
     assert 4 * small["buckets"] - 4 <= large["buckets"] <= 4 * small["buckets"] and large["index_spread"] > 3 * small["index_spread"]
     assert small["buckets"] > 8 and queries._catalog_store(queries.Roles(spark, f"{tmp_path}/1")).buckets == small["buckets"]
+
+
+def test_buckets_follow_rows_where_files_compress_well(spark, tmp_path, monkeypatch):
+    """Ten times the rows in hardly larger files: ten times the buckets, and a hot index key lies in all of them alike."""
+    from nestloom.suite import queries
+
+    for n in (1, 10):
+        for name in ("customer", "supplier", "orders", "lineitem", "part"):
+            fields = spark.createDataFrame([], STAR_SCHEMAS[name]).schema.fields
+            alike = spark.range(0, 400 * n, 1, 1).select(*[F.lit("7").cast(f.dataType).alias(f.name) if f.dataType.typeName() != "timestamp_ntz" else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+            alike.write.parquet(f"{tmp_path}/{n}/{name}.parquet")
+    monkeypatch.setattr(queries, "BUCKET_ROWS", 100)
+    small, large = (queries._layout(queries.Roles(spark, f"{tmp_path}/{n}")) for n in (1, 10))
+    assert small["buckets"] == 20 and large["buckets"] == 200
+    table = KeyedTable(spark, f"{tmp_path}/store", ITEM + ", G string", parts=2, indexes={"G": ("G", None)}, **small)
+    table.overwrite(items(spark, 4000).withColumn("G", F.lit("hot")))
+    held = [r["count"] for r in spark.table(table.name).where("_copy = 'G'").groupBy(F.input_file_name()).count().collect()]
+    assert sum(held) == 4000 and max(held) <= 3 * 4000 / 20
