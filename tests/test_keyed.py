@@ -407,3 +407,19 @@ def test_buckets_follow_rows_where_files_compress_well(spark, tmp_path, monkeypa
     table.overwrite(items(spark, 4000).withColumn("G", F.lit("hot")))
     held = [r["count"] for r in spark.table(table.name).where("_copy = 'G'").groupBy(F.input_file_name()).count().collect()]
     assert sum(held) == 4000 and max(held) <= 3 * 4000 / 20
+
+
+def test_renewed_items_meet_the_stored_ones_without_moving_them(spark, scratch):
+    """Equal items are passed over, of repeated keys one is taken, and index entries follow; stored rows are not shuffled."""
+    table = KeyedTable(spark, scratch(), ITEM + ", G string", parts=2, buckets=4, indexes={"G": ("G", None)})
+    before = items(spark, 40).withColumn("G", F.lit("old"))
+    table.overwrite(before)
+    seen, changed = [], (F.col("v") < 5)
+    now = before.withColumns({"G": F.when(changed, "new").otherwise(F.col("G"))})
+    table.put(now.unionByName(now), checks=[lambda d: seen.append(d.count())])
+    assert seen == [5] and table.count() == 40
+    assert table.query_index("G", "new").count() == 5 and table.query_index("G", "old").count() == 35
+    main = table._expanded(now, ["items"], F.lit(False)).select(*table._columns)
+    with table._joining():
+        joined = plan(table._moved(main, None, renew=True).hint("merge"))
+        assert joined.count("Exchange hashpartitioning") <= 1 and "_new" in joined
