@@ -423,3 +423,18 @@ def test_renewed_items_meet_the_stored_ones_without_moving_them(spark, scratch):
     with table._joining():
         joined = plan(table._moved(main, None, renew=True).hint("merge"))
         assert joined.count("Exchange hashpartitioning") <= 1 and "_new" in joined
+
+
+def test_items_move_without_their_place(spark, scratch, monkeypatch):
+    """A first write shuffles the values and the name of the copy; each bucket of a folder is still one file, packed tightly."""
+    table = KeyedTable(spark, scratch(), ITEM + ", G string", parts=2, buckets=4, indexes={"G": ("G", None)}, index_spread=8)
+    seen, insert = [], table._insert
+    monkeypatch.setattr(table, "_insert", lambda rows, mode: (seen.append(rows._jdf.queryExecution().optimizedPlan().toString()), insert(rows, mode)))
+    rows = items(spark, 300).withColumn("G", F.when(F.col("v") % 3 > 0, F.concat(F.lit("g"), (F.col("v") % 5).cast("string"))))
+    table.overwrite(rows)
+    moved = seen[0].split("RepartitionByExpression")[1]
+    assert "_copy#" in moved and not any(f"AS {c}#" in moved for c in ("_key", "_id", "_slot", "_part", "_gone"))
+    assert table.count() == 300 and table.index("G").count() == 200 and table.query_index("G", "g1").count() == 40
+    names = [r[0].split("/")[-3:] for r in spark.table(table.name).select(F.input_file_name()).distinct().collect()]
+    buckets = [(*folders, n.split("_")[-1]) for *folders, n in names]
+    assert len(set(buckets)) == len(buckets) and all(".zstd." in n for *_, n in names)

@@ -170,6 +170,19 @@ def test_embed_pages_numbers_like_one_sort(spark, spread):
     assert got == wanted and len(found) == len(wanted)
 
 
+def test_embed_pages_moves_plain_rows_and_counts_once(spark):
+    """Lists begin where all rows of a page are, and sums of blocks come from the windows that number them."""
+    parent = spark.range(3).withColumnRenamed("id", "p")
+    child = spark.range(50).select((F.col("id") % 3).alias("p"), (F.col("id") * 20000).alias("id"))
+    found = embed_pages(parent, child, "p", ["id"], "id", ["id"], 7, "rows")
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    begun = next(i for i, line in enumerate(plan) if "partial_collect_list" in line)
+    moved = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(p#" in line and "_page#" in line]
+    assert any(i > begun for i in moved)
+    assert not any("sum(_n#" in line and "Aggregate" in line for line in plan)
+    assert sorted((r["p"], r["_page"], r["_total"], r["_rows"]) for r in found.collect())[:4] == [(0, 0, 17, None), (0, 1, 17, 7), (0, 2, 17, 7), (0, 3, 17, 3)]
+
+
 def test_embed_pages_wants_whole_numbers(spark):
     parent, child = spark.createDataFrame([(1,)], "p long"), spark.createDataFrame([(1, "a")], "p long, id string")
     with pytest.raises(ValueError):
