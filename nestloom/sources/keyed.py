@@ -16,13 +16,13 @@ from __future__ import annotations
 
 import contextlib
 import hashlib
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from nestloom.operators.access import PART, get_item, part_of, query
 from nestloom.operators.changes import latest_per_key
-from nestloom.sources.scratch import PACKED, path_exists, written
+from nestloom.sources.scratch import PACKED, path_exists, settings, written
 from nestloom.sources.tables import duplicate_keys
 
 Check = Callable[[DataFrame], str | None]
@@ -35,19 +35,6 @@ class CheckFailed(Exception):
     """Items or changes did not pass their checks; nothing was written."""
 
 
-@contextlib.contextmanager
-def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    names = {k: k.replace("__", ".") for k in values}
-    before = {n: spark.conf.get(n, None) for n in names.values()}
-    try:
-        for k, n in names.items():
-            spark.conf.set(n, values[k])
-        yield
-    finally:
-        for n, v in before.items():
-            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
-
-
 def _text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
@@ -177,7 +164,7 @@ class KeyedTable:
 
     def _joining(self, **more: str) -> contextlib.AbstractContextManager:
         """While joins on the place of a row may use the buckets, which know less than the whole place."""
-        return _settings(self.spark, spark__sql__requireAllClusterKeysForCoPartition="false", **more)
+        return settings(self.spark, spark__sql__requireAllClusterKeysForCoPartition="false", **more)
 
     def _insert(self, rows: DataFrame, mode: str) -> None:
         with self._joining(spark__sql__sources__partitionOverwriteMode=mode):
@@ -185,8 +172,10 @@ class KeyedTable:
 
     def _repeats(self, rows: DataFrame) -> bool:
         """Whether a key may come twice. Unique keys are the rule; only digests of the keys travel to find that out,
-        and a chance match costs time only."""
-        return not duplicate_keys(rows.select(F.xxhash64(*self.keys).alias("_digest")), ["_digest"]).isEmpty()
+        and a chance match costs time only. They are dealt like the rows, so that a task counts one bucket's share:
+        counted where they are read, as many would be held as a file has keys."""
+        digests = rows.select(F.xxhash64(*self.keys).alias("_digest")).repartition(self.buckets, "_digest")
+        return not duplicate_keys(digests, ["_digest"]).isEmpty()
 
     def overwrite(self, items: DataFrame, checks: Sequence[Check] = ()) -> None:
         """Store these items and nothing else. Of several items with one key, one is kept."""

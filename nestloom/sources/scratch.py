@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 PACKED = "zstd"  # codec of whole tables on disk
+SPLIT_BYTES = 8 << 20  # of a packed table in one reading task; its rows, once per copy, are many times that in memory
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -46,13 +47,31 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    names = {k: k.replace("__", ".") for k in values}
+    before = {n: spark.conf.get(n, None) for n in names.values()}
+    try:
+        for k, n in names.items():
+            spark.conf.set(n, values[k])
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 @contextlib.contextmanager
 def written(df: DataFrame, label: str = "cut") -> Iterator[DataFrame]:
-    """Like ``materialize`` for the length of a block; the files go when it ends. Packed tightly, as whole tables pass here."""
+    """Like ``materialize`` for the length of a block; the files go when it ends. Packed tightly, as whole tables pass here.
+
+    However few or large the files are, a task of the block reads ``SPLIT_BYTES``: a shuffle to more partitions than
+    ``spark.shuffle.sort.bypassMergeThreshold`` holds all rows of its task, or spills them.
+    """
     path = new_path(df.sparkSession, label)
     try:
-        df.write.option("compression", PACKED).parquet(path)
-        yield df.sparkSession.read.schema(df.schema).parquet(path)
+        df.write.option("compression", PACKED).option("parquet.block.size", SPLIT_BYTES // 2).parquet(path)
+        with settings(df.sparkSession, spark__sql__files__maxPartitionBytes=str(SPLIT_BYTES)):
+            yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
         remove_folder(df.sparkSession, path)
 

@@ -450,3 +450,32 @@ def test_early_loads_see_early_tables(spark):
     whole, part = (queries._targets(r, ("MusicCatalog",), upto)[0].entities[-1].source for upto in (None, 9))
     assert sorted(x.TrackId for x in whole.select("TrackId").collect()) == [n for n in range(20) if n % 7 != 3]
     assert sorted(x.TrackId for x in part.select("TrackId").collect()) == [0, 1, 2, 4, 5, 6, 7, 8, 9]
+
+
+def test_repeats_are_looked_for_bucket_by_bucket(spark, scratch, monkeypatch):
+    """Digests are dealt over the buckets before any is counted, so no task holds those of a whole file; one repeat among many is found."""
+    from nestloom.sources import keyed
+
+    seen, find = [], keyed.duplicate_keys
+    monkeypatch.setattr(keyed, "duplicate_keys", lambda df, columns: (seen.append(find(df, columns)), seen[-1])[1])
+    table = KeyedTable(spark, scratch(), ITEM, parts=2, buckets=23)
+    one_file = spark.createDataFrame(items(spark, 5000).coalesce(1).collect(), ITEM).coalesce(1)
+    assert not table._repeats(one_file) and table._repeats(one_file.unionByName(one_file.where("v = 4321")))
+    assert [df.rdd.getNumPartitions() for df in seen] == [23, 23]
+    for df in seen:
+        below = plan(df.select("*")).split("hashpartitioning")
+        assert len(below) == 2 and "HashAggregate" not in below[1]
+    table.overwrite(one_file.unionByName(one_file.where("v = 4321")))
+    assert table.count() == 5000
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, monkeypatch):
+    """A table on its way to the buckets is shared out by its bytes, in one file as in many."""
+    from nestloom.sources import scratch
+
+    monkeypatch.setattr(scratch, "SPLIT_BYTES", 1 << 20, raising=False)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with scratch.written(spark.range(0, 600000, 1, 1).select("id", F.xxhash64("id").alias("v"))) as rows:
+        held = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == 600000 and max(held) <= 250000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == usual
