@@ -181,6 +181,25 @@ def test_ids_are_remembered_exactly(spark, scratch):
     assert seen.pending.count() == 3 and ids.look(first, "id").any
 
 
+def test_late_ids_between_known_ones_are_found_without_looking_through_the_runs(spark, scratch):
+    """Every seventh id comes late, so a block has thousands of runs: no row may carry them or be compared with each."""
+    ids = IdSet(spark, scratch())
+    numbers = spark.range(-70_000, 70_000).select("id", (F.col("id") * 2).alias("v"))
+    ids.remember(ids.look(numbers.where("id % 7 <> 3 AND id % 7 <> -4"), "id"))
+    twice = numbers.union(spark.createDataFrame([(3, 0), (4, 0), (None, 1)], "id bigint, v bigint"))  # one late, one known
+    late = {(i, 2 * i) for i in range(-70_000, 70_000) if i % 7 == 3} | {(3, 0)}
+    seen = ids.look(twice, "id")
+    assert {tuple(r) for r in seen.fresh.collect()} == late and seen.fresh.count() == len(late)
+    text = plan(seen.fresh)
+    assert "exists(" not in text and "runs" not in text
+    # blocks that are new as a whole beside those that are not
+    more = numbers.union(spark.range(200_000, 300_000).select("id", F.lit(0)))
+    seen = ids.look(more, "id")
+    assert seen.fresh.count() == 120_000 and "exists(" not in plan(seen.fresh) and "runs" not in plan(seen.fresh)
+    ids.remember(seen)
+    assert not ids.look(more, "id").any
+
+
 def test_owners_whose_rows_changed(spark, scratch, rows):
     ids, fields = IdSet(spark, scratch()), "p bigint, t bigint"
     owners = lambda *values: sorted(r.p for r in ids.look_at_owners(rows(fields, *values), "p").fresh.collect())
