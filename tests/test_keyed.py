@@ -4,6 +4,7 @@ import pytest
 from music import music_tables
 from pyspark.sql import functions as F
 
+from nestloom.operators import nest
 from nestloom.operators.access import PART, pattern_counts
 from nestloom.plans.load import Entity, Load, Target, keys_present
 from nestloom.plans.music_store import music_store_targets
@@ -341,6 +342,20 @@ def test_refresh_derives_what_new_rows_reach_and_sync_what_changed(spark, scratc
     assert other.stores["Playlists"].query("PLAYLIST#3").count() == 0
 
 
+def test_a_load_is_set_up_without_sorting_its_source(spark, scratch, monkeypatch):
+    """The schema of a target with pages comes from no rows; a load derives its items when it runs, once."""
+    written = []
+    real = nest.materialize
+    monkeypatch.setattr(nest, "materialize", lambda df, label: written.append((out := real(df, label)).count()) or out)
+    target = next(t for t in music_store_targets(music_tables(spark), member_cap=2) if t.name == "Playlists")
+    load = Load(spark, scratch(), [target], parts=2, buckets=2)
+    assert sum(written) == 0
+    assert load.stores["Playlists"].schema == target.items().schema and sum(written) == 9  # of three lists, two have pages
+    assert load.run() and sum(written) == 18
+    assert load.stores["Playlists"].count() == 3 + 2 + 3
+    assert load.rejects("Playlists").count() == 0 and sum(written) == 18
+
+
 def test_late_rows_and_changed_owners_are_derived_alone(spark, scratch):
     """Only what changed is derived again: the builder is asked for no other row."""
     t = music_tables(spark)
